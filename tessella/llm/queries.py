@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import lookalike, runs, terms
+from tessella.llm import leakage, lookalike, quality, runs, terms
 from tessella.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,30 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run of alike tokens as one token with its count and duration."""
     return runs.event_runs(table(spark, sf_dir, "ctc_token")).select("dataset", "stem", "first_id", "last_id", "key", "n", "start_s", "end_s", "duration_s")
+
+
+@query()
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold half or more of a test item's wording."""
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
+
+
+@query()
+def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test item with the number of documents that give it away and the largest share of its wording."""
+    items = table(spark, sf_dir, "eval_item")
+    found = leakage.leaks(table(spark, sf_dir, "documents"), items).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("share").alias("share"))
+    return items.select("item_id", "suite", "lang").join(found, "item_id", "left").fillna(0)
+
+
+@query()
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are not natural prose."""
+    kinds = quality.document_kinds(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_label"))
+    return kinds.where("kind <> 'prose'").select("doc_id")
+
+
+@query()
+def p8_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and kind of every document."""
+    return quality.document_kinds(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_label"))
