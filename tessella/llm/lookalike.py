@@ -12,6 +12,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.session import written
+
 # Letters of other scripts and of phonetic notation shaped like Latin letters.
 CYRILLIC = dict(zip("АВЕКМНОРСТУХЅІЈԚԜҮѴӀаеорсухѕіјһԁԛԝѵӏ", "ABEKMHOPCTYXSIJQWYVIaeopcyxsijhdqwvl", strict=True))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿανορυϲϳ", "ABEZHIKMNOPTYXCJavopucj", strict=True))
@@ -179,7 +181,7 @@ def lookalikes(annotations: DataFrame, intervals: DataFrame, lexicon: DataFrame)
     """
     words = intervals.where(F.lower("tier") == "words").select("interval_id", "text")
     texts = words.select("text").distinct().unionByName(annotations.select(F.col("raw_text").alias("text"))).unionByName(lexicon.select(F.col("token").alias("text")))
-    known = forms(texts, "text")
+    known = written(forms(texts, "text"), "forms")  # three joins read it
     a = alike_annotations(annotations, known).select(F.lit("annotation").alias("src"), "key_a", "key_b")
     b = alike_tokens(words, lexicon, known).select(F.lit("interval").alias("src"), "key_a", "key_b")
     return a.unionByName(b)
