@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import leakage, lookalike, quality, runs, terms
+from tessella.llm import containers, leakage, lookalike, quality, runs, terms
 from tessella.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +97,17 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and kind of every document."""
     return quality.document_kinds(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_label"))
+
+
+@query()
+def p6_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's container of 2,048 tokens."""
+    return containers.fill_containers(table(spark, sf_dir, "documents"), 2048)
+
+
+@query()
+def p6_room(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers and room left unused for capacities from 512 to 8,192 tokens."""
+    lengths = containers.written(containers.token_lengths(table(spark, sf_dir, "documents")), "lengths")
+    rooms = [containers.room_left(containers.packed(lengths, c)) for c in (512, 1024, 2048, 4096, 8192)]
+    return reduce(DataFrame.unionByName, rooms)
