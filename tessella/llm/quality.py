@@ -303,6 +303,16 @@ def _step(stats: DataFrame, model: Mixture, floor: float) -> tuple[Mixture, floa
     return Mixture(model.center, model.scale, weight, mean, cov), float(np.abs(weight - model.weight).max())
 
 
+def _third_nearest(points: np.ndarray, rows: int = 128) -> np.ndarray:
+    """Distance of each point to the third nearest, itself included; a block of rows at a time."""
+    k, square = min(2, len(points) - 1), (points * points).sum(1)
+    out = np.empty(len(points))
+    for a in range(0, len(points), rows):
+        d = square[a : a + rows, None] + square[None] - 2 * points[a : a + rows] @ points.T
+        out[a : a + rows] = np.sqrt(np.maximum(np.partition(d, k, axis=1)[:, k], 0))
+    return out
+
+
 def fit_mixture(stats: DataFrame, rated: DataFrame, rounds: int = 12, tolerance: float = 1e-3, floor: float = 0.02, per_kind: int = 5, rated_rows: int = RATED_ROWS) -> Mixture:
     """A mixture fitted to the statistics of all documents, its components mapped to kinds.
 
@@ -324,8 +334,7 @@ def fit_mixture(stats: DataFrame, rated: DataFrame, rounds: int = 12, tolerance:
         # farthest points first, from the median of the kind's examples on; lone mistakes of raters are left out
         mine = seen[said == kind]
         if len(mine) >= 3:
-            gaps = np.sqrt(((mine[:, None] - mine[None]) ** 2).sum(2))
-            near = np.sort(gaps, 1)[:, min(2, len(mine) - 1)]
+            near = _third_nearest(mine)
             mine = mine[near <= np.quantile(near, 0.9)]
         mine = np.vstack([np.median(mine, 0, keepdims=True), mine, known[known_kind == kind]]) if len(mine) else known[known_kind == kind]
         chosen = [0]
