@@ -121,8 +121,11 @@ MODES = ("withitn", "woitn")
 def tag_values(text: Column) -> dict[str, Column]:
     """Language, emotion and numeral mode of angle-and-bar tags; of several the last counts, null if there is none."""
     tags = F.regexp_extract_all(text, F.lit(r"<\|([^|]+)\|>"), F.lit(1))
-    last = {k: F.try_element_at(F.filter(tags, lambda t, v=v: t.isin(*v)), F.lit(-1)) for k, v in (("language", LANGUAGES), ("emotion", EMOTIONS), ("itn_mode", MODES))}
-    return last
+
+    def last(values: tuple[str, ...]) -> Column:
+        return F.try_element_at(F.filter(tags, lambda t: t.isin(*values)), F.lit(-1))
+
+    return {"language": last(LANGUAGES), "emotion": last(EMOTIONS), "itn_mode": last(MODES)}
 
 
 _LABEL = r"\[[A-Za-z][^\]]*?\]"
@@ -166,7 +169,7 @@ def quoted(text: Column) -> Column:
 
 
 def seconds_text(value: Column) -> Column:
-    """Six decimals without zeros at the end."""
+    """Six decimals, rounded half up, without zeros at the end."""
     return F.regexp_replace(F.format_string("%.6f", value.cast("double")), r"\.?0+$", "")
 
 
