@@ -156,10 +156,13 @@ def hold_once(staged: DataFrame, repeated: DataFrame, final: str, packing: Packi
     """The staged members without repeats, each distinct version once, published at ``final``.
 
     ``is_latest`` marks the newest version of a record (by ``modified_at``, then ``file_id``). Repeats are taken
-    out by an anti join that Spark broadcasts only while their ids are below its threshold.
+    out by an anti join that Spark broadcasts only while their ids are below its threshold; only rows whose id was
+    delivered more than once are shuffled. Rows without id are all kept.
     """
     spark = staged.sparkSession
-    once = staged.dropDuplicates(["file_id"]).join(repeated.select(F.col("repeat_id").alias("file_id")), "file_id", "left_anti")
+    again = staged.where("file_id is not null").groupBy("file_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("file_id")
+    single = staged.join(again, "file_id", "left_anti").unionByName(staged.join(again, "file_id", "left_semi").dropDuplicates(["file_id"]))
+    once = single.join(repeated.select(F.col("repeat_id").alias("file_id")), "file_id", "left_anti")
     newest = (
         once.where("rec_stem is not null")
         .groupBy("rec_dataset", "rec_stem", "rec_suffix")
