@@ -100,29 +100,37 @@ def fold_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fold_rows(), "ch string, parts array<struct<part:string,ccc:int>>")
 
 
+#: Before each base, and in place of a base that a text lacks; folding takes both out of texts.
+_BASE, _NONE = "\x01", "\x02"
+
+
 def _recomposed(cluster: Column) -> Column:
-    """A base and its marks, given as [(part, ccc, pos)], ordered by class and composed."""
+    """A base and its marks, each mark behind three digits of its class, in the order of classes and composed."""
     pairs = F.create_map(*[F.lit(x) for kv in sorted(compositions().items()) for x in kv])
-    marks = F.sort_array(F.transform(F.slice(cluster, 2, F.size(cluster)), lambda m: F.struct(m["ccc"], m["pos"], m["part"])))
-    start = F.struct(cluster[0]["part"].alias("base"), F.lit("").alias("rest"), F.lit(0).alias("last"))
+    marks = F.regexp_extract_all(cluster, F.lit(r"(?s)(?<=.)(\d{3}.)"), F.lit(1))
+    ranked = F.sort_array(F.transform(marks, lambda m, i: F.concat(F.substring(m, 1, 3), F.lpad(i.cast("string"), 7, "0"), F.substring(m, 4, 1))))
+    start = F.struct(F.substring(cluster, 1, 1).alias("base"), F.lit("").alias("rest"), F.lit("000").alias("last"))
 
     def add(acc: Column, m: Column) -> Column:
-        made = F.when(acc["last"] < m["ccc"], F.try_element_at(pairs, F.concat(acc["base"], m["part"])))
+        mark, ccc = F.substring(m, 11, 1), F.substring(m, 1, 3)
+        made = F.when(acc["last"] < ccc, F.try_element_at(pairs, F.concat(acc["base"], mark)))
         return F.when(made.isNotNull(), F.struct(made.alias("base"), acc["rest"].alias("rest"), acc["last"].alias("last"))).otherwise(
-            F.struct(acc["base"].alias("base"), F.concat(acc["rest"], m["part"]).alias("rest"), m["ccc"].alias("last"))
+            F.struct(acc["base"].alias("base"), F.concat(acc["rest"], mark).alias("rest"), ccc.alias("last"))
         )
 
-    return F.aggregate(marks, start, add, lambda a: F.concat(a["base"], a["rest"]))
+    return F.aggregate(ranked, start, add, lambda a: F.concat(a["base"], a["rest"]))
 
 
 def _rebuilt(parts: Column) -> Column:
-    """The string of [(part, ccc)], marks in canonical order and recomposed where there are any."""
-    indexed = F.transform(parts, lambda p, i: F.struct(p["part"].alias("part"), p["ccc"].alias("ccc"), i.alias("pos")))
-    starts = F.filter(F.transform(parts, lambda p, i: F.when((p["ccc"] == 0) | (i == 0), i)), lambda i: i.isNotNull())
-    clusters = F.transform(starts, lambda s, k: F.slice(indexed, s + 1, F.coalesce(F.get(starts, k + 1), F.size(parts)) - s))
-    joined = F.array_join(F.transform(clusters, lambda c: F.when(F.size(c) == 1, c[0]["part"]).otherwise(_recomposed(c))), "")
+    """The string of [(part, ccc)], marks in canonical order and recomposed where there are any.
+
+    Bases and their marks are strung together and parted again, so that a text's length counts once, not squared.
+    """
+    marked = F.transform(parts, lambda p, i: F.when(p["ccc"] == 0, F.concat(F.lit(_BASE), p["part"])).otherwise(F.concat(F.when(i == 0, _BASE + _NONE).otherwise(""), F.lpad(p["ccc"].cast("string"), 3, "0"), p["part"])))
+    clusters = F.split(F.array_join(marked, ""), _BASE)
+    joined = F.array_join(F.transform(clusters, lambda c: F.when(F.length(c) <= 1, c).otherwise(_recomposed(c))), "")
     plain = F.array_join(F.transform(parts, lambda p: p["part"]), "")
-    return F.when(F.exists(parts, lambda p: p["ccc"] > 0), joined).otherwise(plain)
+    return F.when(F.exists(parts, lambda p: p["ccc"] > 0), F.replace(joined, F.lit(_NONE), F.lit(""))).otherwise(plain)
 
 
 def text_id(text: Column) -> Column:

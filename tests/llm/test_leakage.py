@@ -53,7 +53,7 @@ def test_many_random_cases():
     for k, text in enumerate(texts):
         zh = k % 2 == 0
         noise = (chinese if zh else english)(rng, 300)
-        assert [i for i, _, _ in scanner.find(noise + changed(rng, text, 7, zh) + noise)] == [k]
+        assert [i for i, _, _ in scanner.find(noise + changed(rng, text, 10, zh) + noise)] == [k]
         units = text if zh else text.split(" ")
         part = units[: int(len(units) * 0.35)]
         assert scanner.find(noise + ("" if zh else " ").join(part) + noise) == []
