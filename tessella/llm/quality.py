@@ -323,7 +323,10 @@ def fit_mixture(stats: DataFrame, rated: DataFrame, rounds: int = 12, tolerance:
     """
     center, scale = _moments(stats)
     names = rated.where(F.col("kind").isin(*KINDS)).select(F.col("doc_id").cast("bigint").alias("doc_id"), "kind").distinct()
-    rows = stats.join(names, "doc_id").orderBy(F.xxhash64("doc_id", "kind")).limit(rated_rows).collect()
+    # thin the ratings by hash before they are sorted, so that no more than about twice the bound is gathered
+    share = min(1.0, 2 * rated_rows / max(1, names.count()))
+    few = names.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    rows = stats.join(few, "doc_id").orderBy(F.xxhash64("doc_id", "kind")).limit(rated_rows).collect()
     shape = Mixture(center, scale, np.ones(1), np.zeros((1, len(STATS))), np.eye(len(STATS))[None])
     seen = shape.standardized(np.array([[r[s] for s in STATS] for r in rows]).reshape(-1, len(STATS)))
     said = np.array([r.kind for r in rows], dtype=object)
