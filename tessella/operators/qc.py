@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessella.functions import lexicon as lx
 from tessella.functions import tokens as tk
 from tessella.operators import intervals as iv
+from tessella.operators import signal as sg
 
 UTT = list(iv.UTT)
 PINYIN_IN_TEXT = r"((?<![\p{L}\p{N}_])[a-z]+[1-5](?![\p{L}\p{N}_]))"
@@ -156,3 +157,45 @@ def neighbours_of(rows: DataFrame, flag: str) -> DataFrame:
     """Rows with ``near``: whether the row beside them bears the flag."""
     w = Window.partitionBy(*UTT).orderBy("xmin", "xmax", "interval_id")
     return rows.withColumn("near", F.coalesce(F.lag(flag).over(w), F.lit(False)) | F.coalesce(F.lead(flag).over(w), F.lit(False)))
+
+
+# Rules that need audio; kernels over one utterance's rows (xmin, xmax, text).
+
+
+def background_suspect(words: list[tuple[float, float, str]], audio, rate: int, ratio: float = 2.0, least: float = 0.3, speech: float = 1.0, frame_ms: float = 10.0) -> dict | None:
+    """Loud silences: the silences of at least ``least`` seconds whose energy exceeds the floor times ``ratio``, if they make
+    up more than a tenth (times ``speech``) of the silence checked. The floor is the frames' order statistic at 60 %."""
+    rms, _ = sg.frame_rms(audio, rate, frame_ms)
+    floor = max(sg.noise_floor(rms, 0.6), 1e-6)
+    limit = max(floor * ratio, 0.005)
+    checked = [(a, b, sg.word_energy(audio, rate, a, b)) for a, b, t in words if tk.py_silence(t) and b - a >= least]
+    loud = [(a, b, e) for a, b, e in checked if e > limit]
+    total, suspect = sum(b - a for a, b, _ in checked), sum(b - a for a, b, _ in loud)
+    if not loud or suspect / total <= speech * 0.1:
+        return None
+    voices = [e for a, b, t in words if not tk.py_silence(t) and (e := sg.word_energy(audio, rate, a, b)) > 0]
+    return {
+        "rule": "bgm_suspect", "noise_floor": round(floor, 6), "avg_speech_energy": round(sum(voices) / len(voices), 6) if voices else 0.0, "suspect_intervals": len(loud),
+        "suspect_ratio": round(suspect / total, 3), "total_sil_dur": round(total, 3), "suspect_dur": round(suspect, 3),
+    }
+
+
+def words_in_silence(words: list[tuple[float, float, str]], audio, rate: int, ratio: float = 0.0) -> list[dict]:
+    """Words no louder than the floor allows; off unless ``ratio`` is above 0, and a ratio below 10 counts as 10.
+
+    Punctuation, English words, vocalisations and what stands beside the latter two are not judged.
+    """
+    if ratio <= 0:
+        return []
+    rms, _ = sg.frame_rms(audio, rate, 10.0)
+    floor = sg.noise_floor(rms, 0.15)
+    foreign = [not tk.py_silence(t) and (tk.py_english(t) or tk.py_vocalisation(t)) for _, _, t in words]
+    out = []
+    for i, (a, b, t) in enumerate(words):
+        near = any(foreign[max(0, i - 1) : i + 2])
+        if near or tk.py_silence(t) or t.strip() in "，。…！？、；：":
+            continue
+        energy = sg.word_energy(audio, rate, a, b)
+        if 0 < energy < max(floor * ratio, floor * 10):
+            out.append({"rule": "word_in_silence", "text": t, "energy": round(energy, 6), "noise_floor": round(floor, 6)})
+    return out

@@ -341,6 +341,20 @@ def a15_gap_filled_tier(spark: SparkSession, sf: str) -> DataFrame:
     return iv.filled_gaps(rows)
 
 
+@query(
+    f"""WITH {q.TOK}, {q.PUN}, {q.UTT}, items AS (SELECT * FROM tok UNION ALL SELECT interval_id + 1000000000000, dataset, stem, xmin, xmax, text FROM pun),
+f AS (SELECT t.*, u.xmax AS utt_end, lead(t.xmin) OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS nx,
+  row_number() OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS r FROM items t JOIN utt u USING (dataset, stem)),
+s AS (SELECT *, coalesce(least(xmax, nx), xmax) AS stop FROM f)
+SELECT dataset, stem, 0.0 AS xmin, xmin AS xmax, '' AS text FROM s WHERE r = 1 AND xmin > 0.005 UNION ALL SELECT dataset, stem, xmin, stop, text FROM s
+UNION ALL SELECT dataset, stem, stop, coalesce(nx, utt_end), '' FROM s WHERE coalesce(nx, utt_end) - stop > 0.005"""
+)
+def a16_rebuilt_tier(spark: SparkSession, sf: str) -> DataFrame:
+    """The words tier rebuilt from tokens and punctuation anchors together."""
+    both = token_rows(spark, sf).unionByName(punct_rows(spark, sf).withColumn("interval_id", F.col("interval_id") + 1_000_000_000_000))
+    return iv.filled_gaps(both.join(utterances(spark, sf).withColumnRenamed("xmax", "utt_end"), UTT))
+
+
 @query(
     f"""WITH {q.TOK}, e AS (SELECT * FROM tok WHERE {q.english('text')}), f AS (SELECT *, CASE WHEN xmin - lag(xmax) OVER ({q.W}) >= 0.35 OR lag(xmax) OVER ({q.W}) IS NULL THEN 1 ELSE 0 END AS n FROM e),
 g AS (SELECT *, sum(n) OVER ({q.W}) AS segment FROM f)

@@ -208,6 +208,12 @@ def j3_ipa_map(spark: SparkSession, sf: str) -> DataFrame:
     return lx.ipa_to_pinyin(table(spark, sf, "lexicon"), _ipa_lexicon(spark, sf))
 
 
+@query()
+def c2_mapped_phones(spark: SparkSession, sf: str) -> DataFrame:
+    """Phones one to one by the map."""
+    return lx.mapped_phones(tiers(spark, sf, "pinyin_phones"), j3_ipa_map(spark, sf)).select("interval_id", "text")
+
+
 @query()
 def j4_tone_reference(spark: SparkSession, sf: str) -> DataFrame:
     """The map regrouped by consonants, toned vowels and tone letters."""

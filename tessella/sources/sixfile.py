@@ -125,3 +125,8 @@ def check_layout(listing: DataFrame, patterns: list[str]) -> list[str]:
     """Patterns (SQL ``like`` on ``path``) that no file matches."""
     counts = listing.agg(*[F.count_if(F.col("path").like(p)).alias(f"c{i}") for i, p in enumerate(patterns)]).first()
     return [p for i, p in enumerate(patterns) if not counts[i]]
+
+
+def reorganised(rows: DataFrame, path: str) -> None:
+    """Members written in one folder per data set. Small data sets share a task, and a large one is split over several."""
+    rows.hint("rebalance", "dataset").write.partitionBy("dataset").parquet(path)
