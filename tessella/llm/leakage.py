@@ -21,6 +21,8 @@ from tessella.llm.lookalike import fold_char
 
 #: Test items held by one automaton; more are scanned for in blocks.
 BLOCK_ITEMS = 20_000
+#: Characters of the test items that one automaton holds and one broadcast sends.
+BLOCK_CHARS = 10_000_000
 #: Other words than those of the test texts.
 OTHER = "￾"
 
@@ -224,7 +226,7 @@ def leaks(documents: DataFrame, items: DataFrame, matching: Matching = Matching(
     Case, punctuation, width, look-alike letters, blanks, line breaks and tags in between do not matter, and changes of
     single words or characters are bridged. ``passages`` gives token positions in the item and character offsets in
     the original document text. The test items are a stated set: they are read on the driver in blocks of
-    ``block_items``, one automaton each, and every document is scanned whole against every block. Null texts and ids give
+    ``block_items`` and ``BLOCK_CHARS`` at most, one automaton each, and every document is scanned whole against every block. Null texts and ids give
     nothing; a document or item delivered twice counts once. No item or document gives no rows.
     """
     spark: SparkSession = documents.sparkSession
@@ -251,11 +253,13 @@ def leaks(documents: DataFrame, items: DataFrame, matching: Matching = Matching(
 
         return rows.mapInArrow(kernel, _SCHEMA)
 
+    chars = 0
     for row in held.toLocalIterator():
-        block.append((row.item_id, row.text))
-        if len(block) == block_items:
+        if block and (len(block) == block_items or chars + len(row.text) > BLOCK_CHARS):
             out = scan(block) if out is None else out.unionByName(scan(block))
-            block = []
+            block, chars = [], 0
+        block.append((row.item_id, row.text))
+        chars += len(row.text)
     if block or out is None:
         out = scan(block) if out is None else out.unionByName(scan(block))
     return out.dropDuplicates(["doc_id", "item_id"])

@@ -20,7 +20,7 @@ from tessella.session import written
 KINDS = ("prose", "list", "tabular", "junk")
 
 # Ideographs that carry grammar rather than content, and common English words.
-COMMON_IDEOGRAPHS = "的了在是我你他她它们因为所以可但而不这那个如果就还也都又再没有太很里上然后一和与从对向给把被跟会能应该必须已经直总正将才刚常先真重新马慢轻快时候今昨明早晚中午天年月去前次段条么什吗呢吧啊其之着过地得到"
+COMMON_IDEOGRAPHS = "的了在是我你他她它们因为所以可但而不这那个如就还也都又再没有太很里上然后一和与从对向给把被跟会能应该必须已经直总正将才刚常先真重新马慢轻快时候今昨明早晚中午天年月去前次段条么什吗呢吧啊其之着过地得到"
 COMMON_WORDS = (
     "a about after against all almost although an and any are as at be because been before behind beneath beside between beyond both but by can do does each every "
     "few for from had has have he her his how i if in inside into is it its just many more most much near no not nothing of off often on once one only or other "
@@ -32,7 +32,7 @@ COMMON_WORDS = (
 #: from which this is asked of it by itself; shorter lines are judged with their neighbours.
 SENTENCE_COMMON = 0.11
 #: Documents' statistics, in order.
-STATS = ("words", "mean_word", "symbols", "line_ends", "common", "digits", "sentences", "line_length", "odd")
+STATS = ("words", "mean_word", "symbols", "line_ends", "common", "digits", "sentences", "line_length", "odd", "gaps")
 
 _SPACE, _LETTER, _DIGIT, _IDEO, _IDEO_COMMON, _END, _SYMBOL, _ODD, _NEWLINE = range(9)
 _ENDS = ".!?。！？…；;:：\"”’'）)"
@@ -65,7 +65,7 @@ def _classes() -> np.ndarray:
             k = _NEWLINE
         elif c.isspace():
             k = _SPACE
-        elif cp == 0xFFFD or 0x80 <= cp < 0xC0 or 0xD800 <= cp < 0xF900 or cp < 0x20:
+        elif cp == 0xFFFD or 0x80 <= cp < 0xA0 or 0xD800 <= cp < 0xF900 or cp < 0x20:
             k = _ODD
         elif 0x3400 <= cp < 0xA000:
             k = _IDEO
@@ -111,6 +111,9 @@ def text_stats(texts: list[str]) -> np.ndarray:
     words = per_line(word_start) + ideographs
     symbols, odd = per_line((kind == _SYMBOL) | (kind == _END)), per_line(kind == _ODD)
     common = per_line(kind == _IDEO_COMMON)
+    apart = np.zeros(len(kind), bool)
+    apart[:-2] = ideo[:-2] & (kind[1:-1] == _SPACE) & ideo[2:]
+    gaps = per_line(apart)
     at = np.flatnonzero(word_start)
     if len(at):
         stop = letter.copy()
@@ -146,8 +149,7 @@ def text_stats(texts: list[str]) -> np.ndarray:
         return out
 
     plain = spread(common) >= SENTENCE_COMMON * np.maximum(spread(words), 1)
-    noisy = (odd + digits * 0.5 + (symbols - ended) * 0.5) > 0.25 * np.maximum(size, 1)
-    # words of many letters or of hardly any, or far more letters and digits than words, are no sentences
+    noisy = ((odd + digits * 0.5 + (symbols - ended) * 0.5) > 0.25 * np.maximum(size, 1)) | (gaps > 0.2 * np.maximum(ideographs, 1))
     sentences = np.where(plain & ~noisy, size, 0)
     total, w = np.maximum(per_doc(size), 1), np.maximum(per_doc(words), 1)
     lines = np.maximum(per_doc(filled), 1)
@@ -161,6 +163,7 @@ def text_stats(texts: list[str]) -> np.ndarray:
         per_doc(sentences) / total,
         total / lines,
         per_doc(odd) / total,
+        per_doc(gaps) / np.maximum(per_doc(ideographs), 1),
     ])
 
 
@@ -175,7 +178,7 @@ def document_stats(documents: DataFrame) -> DataFrame:
     ``words``: ideographs and runs of letters or digits; ``mean_word``: their mean length; ``symbols``, ``digits``,
     ``odd`` (controls, replaced or private characters) and ``sentences`` (lines that read as running sentences): shares
     of the characters that aren't blank; ``line_ends``: share of lines that end in punctuation; ``common``: share of
-    common words; ``line_length``: mean characters of a line.
+    common words; ``line_length``: mean characters of a line; ``gaps``: share of ideographs parted from the next by a blank.
     """
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +201,7 @@ def features(x: np.ndarray) -> np.ndarray:
     y = x.astype(float).copy()
     for i in (STATS.index("words"), STATS.index("mean_word"), STATS.index("line_length")):
         y[:, i] = np.log1p(y[:, i])
-    for s in ("symbols", "digits", "odd"):
+    for s in ("symbols", "digits", "odd", "gaps"):
         y[:, STATS.index(s)] = np.sqrt(y[:, STATS.index(s)])
     return y
 
@@ -231,21 +234,23 @@ class Mixture:
 # Statistics of inspected texts of each kind, which map components that no rated document falls into
 # and start the fit where there are no ratings. Order as in STATS.
 INSPECTED = (
-    ("prose", (150, 1.05, 0.09, 0.95, 0.27, 0.00, 1.00, 150, 0.0)),
-    ("prose", (120, 5.30, 0.02, 0.95, 0.40, 0.00, 1.00, 300, 0.0)),
-    ("prose", (130, 1.05, 0.10, 0.95, 0.25, 0.01, 1.00, 28, 0.0)),
-    ("prose", (150, 5.30, 0.02, 0.10, 0.40, 0.00, 1.00, 90, 0.0)),
-    ("list", (120, 1.00, 0.01, 0.02, 0.05, 0.00, 0.02, 5, 0.0)),
-    ("list", (60, 6.00, 0.05, 0.30, 0.01, 0.02, 0.00, 20, 0.0)),
-    ("list", (80, 1.00, 0.30, 0.50, 0.05, 0.00, 0.00, 200, 0.0)),
-    ("tabular", (150, 2.70, 0.22, 0.00, 0.00, 0.60, 0.00, 22, 0.0)),
-    ("tabular", (90, 4.00, 0.25, 0.05, 0.00, 0.30, 0.00, 45, 0.0)),
-    ("junk", (10, 40.0, 0.03, 0.00, 0.00, 0.16, 0.00, 65, 0.0)),
-    ("junk", (3, 1.00, 0.99, 0.05, 0.00, 0.01, 0.00, 40, 0.0)),
-    ("junk", (80, 1.05, 0.02, 0.00, 0.03, 0.00, 0.00, 300, 0.0)),
-    ("junk", (80, 1.05, 0.05, 0.60, 0.20, 0.00, 0.00, 150, 0.5)),
+    ("prose", (150, 1.05, 0.09, 0.95, 0.27, 0.00, 1.00, 150, 0.0, 0)),
+    ("prose", (120, 5.30, 0.02, 0.95, 0.40, 0.00, 1.00, 300, 0.0, 0)),
+    ("prose", (130, 1.05, 0.10, 0.95, 0.25, 0.01, 1.00, 28, 0.0, 0)),
+    ("prose", (150, 5.30, 0.02, 0.10, 0.40, 0.00, 1.00, 90, 0.0, 0)),
+    ("list", (120, 1.00, 0.01, 0.02, 0.05, 0.00, 0.02, 5, 0.0, 0.25)),
+    ("list", (60, 6.00, 0.05, 0.30, 0.01, 0.02, 0.00, 20, 0.0, 0)),
+    ("list", (80, 1.00, 0.30, 0.50, 0.05, 0.00, 0.00, 200, 0.0, 0.0)),
+    ("tabular", (150, 2.70, 0.22, 0.00, 0.00, 0.60, 0.00, 22, 0.0, 0)),
+    ("tabular", (90, 4.00, 0.25, 0.05, 0.00, 0.30, 0.00, 45, 0.0, 0)),
+    ("junk", (10, 40.0, 0.03, 0.00, 0.00, 0.16, 0.00, 65, 0.0, 0)),
+    ("junk", (3, 1.00, 0.99, 0.05, 0.00, 0.01, 0.00, 40, 0.0, 0)),
+    ("junk", (80, 1.05, 0.02, 0.00, 0.03, 0.00, 0.00, 300, 0.0, 0.5)),
+    ("junk", (80, 1.05, 0.05, 0.60, 0.20, 0.00, 0.00, 150, 0.5, 0)),
 )
 
+#: Ratings that the nearest inspected text weighs as, so that a mistaken rating or two don't name a small component.
+INSPECTED_VOTES = 3.0
 #: Rated documents inspected at most, the first by hash of their id.
 RATED_ROWS = 5000
 
@@ -319,7 +324,7 @@ def fit_mixture(stats: DataFrame, rated: DataFrame, rounds: int = 12, tolerance:
     ``rated`` has doc_id and kind; at most ``rated_rows`` rated documents are inspected. They start the components,
     ``per_kind`` of each kind spread over its examples, beside the module's own inspected texts. After ``rounds`` of
     expectation-maximization, or once no weight changes by more than ``tolerance``, a component takes the kind of most
-    ratings that fall into it, or of the nearest inspected text if hardly any do.
+    ratings that fall into it, the nearest inspected text counting as ``INSPECTED_VOTES`` of them.
     """
     center, scale = _moments(stats)
     names = rated.where(F.col("kind").isin(*KINDS)).select(F.col("doc_id").cast("bigint").alias("doc_id"), "kind").distinct()
@@ -357,12 +362,9 @@ def fit_mixture(stats: DataFrame, rated: DataFrame, rounds: int = 12, tolerance:
         p = model.posterior(seen)
         for j, kind in enumerate(KINDS):
             votes[:, j] = p[said == kind].sum(0)
-    kinds = []
     for c in range(k):
-        if votes[c].sum() >= 2:
-            kinds.append(KINDS[int(votes[c].argmax())])
-        else:
-            kinds.append(known_kind[((known - model.mean[c]) ** 2).sum(1).argmin()])
+        votes[c, KINDS.index(known_kind[((known - model.mean[c]) ** 2).sum(1).argmin()])] += INSPECTED_VOTES
+    kinds = [KINDS[j] for j in votes.argmax(1)]
     return Mixture(center, scale, model.weight, model.mean, model.cov, tuple(kinds))
 
 
@@ -393,3 +395,10 @@ def document_kinds(documents: DataFrame, rated: DataFrame) -> DataFrame:
     """
     stats = written(document_stats(documents.select("doc_id", "text")).dropDuplicates(["doc_id"]), "stats")
     return classified(stats, fit_mixture(stats, rated))
+
+
+def not_prose(kinds: DataFrame) -> DataFrame:
+    """Documents of another kind than prose, less those of which every line plainly reads as sentences: too short a text
+    for its other statistics to tell."""
+    plain = (F.col("sentences") >= 0.98) & (F.col("gaps") < 0.08) & (F.col("odd") < 0.01) & (F.col("common") >= 0.22)
+    return kinds.where((F.col("kind") != "prose") & ~plain)

@@ -90,7 +90,7 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that are not natural prose."""
     kinds = quality.document_kinds(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_label"))
-    return kinds.where("kind <> 'prose'").select("doc_id")
+    return quality.not_prose(kinds).select("doc_id")
 
 
 @query()
