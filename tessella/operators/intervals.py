@@ -285,6 +285,13 @@ def next_start_ends(items: DataFrame, epsilon: float = 0.001) -> DataFrame:
     return items.withColumn("_us", us).withColumn("new_xmax", F.coalesce(F.min("xmin").over(w), "xmax")).drop("_us")
 
 
+def ended(items: DataFrame, mark: float = 0.060) -> DataFrame:
+    """Items without end get one: the next start of their utterance as in ``next_start_ends``; without a later start an
+    item of kind ``punct`` lasts ``mark`` seconds, as anchors that end before they start do, and a token ends at its start."""
+    last = F.when(F.col("kind") == "punct", F.col("xmin") + mark).otherwise(F.col("xmin"))
+    return next_start_ends(items).withColumn("xmax", F.coalesce("xmax", "new_xmax", last)).drop("new_xmax")
+
+
 def filled_gaps(items: DataFrame, above: float = 0.005) -> DataFrame:
     """Items and, as rows of empty text, the gaps before, between and behind them up to ``utt_end``; each item ends at the next start."""
     w = by_time()

@@ -18,8 +18,9 @@ def tiers(spark: SparkSession, sf: str, *names: str) -> DataFrame:
     return iv.tiers(table(spark, sf, "tier_interval"), *names)
 
 
-def anchors(spark: SparkSession, sf: str, name: str, id_col: str) -> DataFrame:
-    rows = table(spark, sf, name).where("start_s is not null and end_s is not null")
+def anchors(spark: SparkSession, sf: str, name: str, id_col: str, open_too: bool = False) -> DataFrame:
+    """Tokens or anchors with both bounds, as their SQL takes them; with ``open_too`` also those without end."""
+    rows = table(spark, sf, name).where("start_s is not null" if open_too else "start_s is not null and end_s is not null")
     return rows.select(F.col(id_col).alias("interval_id"), *UTT, F.col("start_s").alias("xmin"), F.col("end_s").alias("xmax"), F.col("word").alias("text")).repartition(*UTT).distinct()
 
 
@@ -31,6 +32,13 @@ def punct_rows(spark: SparkSession, sf: str) -> DataFrame:
     return anchors(spark, sf, "ctc_punct", "punct_id")
 
 
+def ended_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All tokens and punctuation anchors by ``kind``, those delivered without end included."""
+    kinds = (("token", "ctc_token", "token_id"), ("punct", "ctc_punct", "punct_id"))
+    tokens, punct = (anchors(spark, sf, name, key, True).withColumn("kind", F.lit(kind)) for kind, name, key in kinds)
+    return iv.ended(tokens.unionByName(punct))
+
+
 def utterances(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "utterance").groupBy(*UTT).agg(F.max("xmax").alias("xmax"))
 

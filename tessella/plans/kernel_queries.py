@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessella.functions.lexicon import last_entries
 from tessella.operators import adjust, align, fusion, signal
 from tessella.plans import sqltext as q
-from tessella.plans.interval_queries import UTT, punct_rows, tiers, token_rows, utterances
+from tessella.plans.interval_queries import UTT, ended_rows, tiers, utterances
 from tessella.queries import query
 from tessella.session import table
 
@@ -39,7 +39,10 @@ def assembled(spark: SparkSession, sf: str) -> DataFrame:
     rows = tiers(spark, sf, "words", "pinyin_phones", "raw_text").where("xmax > xmin")
     out = _nested(rows.where("tier = 'words'"), "words")
     out = out.join(_nested(rows.where("tier = 'pinyin_phones'"), "phones"), UTT, "left")
-    out = out.join(_nested(token_rows(spark, sf), "tokens"), UTT, "left").join(_nested(punct_rows(spark, sf), "punct"), UTT, "left")
+    kind = lambda k: F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("xmin", "xmax", "text"))))
+    said = ended_rows(spark, sf).where("text is not null").groupBy(*UTT).agg(kind("token").alias("tokens"), kind("punct").alias("punct"))
+    some = [F.when(F.size(c) > 0, F.col(c)).alias(c) for c in ("tokens", "punct")]
+    out = out.join(said.select(*UTT, *some), UTT, "left")
     text = rows.where("tier = 'raw_text'").groupBy(*UTT).agg(F.min_by("text", "xmin").alias("text"))
     return out.join(text, UTT, "left")
 

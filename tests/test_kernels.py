@@ -301,3 +301,24 @@ def test_fused_table(spark):
     hanzi = [r.text for r in got if r.stem == "u" and r.tier == "hanzi"]
     assert "八" in hanzi and hanzi[-1] == "。"
     assert [r.text for r in got if r.stem == "u" and r.tier == "raw_text"] == ["八。"]
+
+
+def test_tokens_and_anchors_without_end(spark, tmp_path):
+    from tessella.plans import kernel_queries as kq
+
+    def put(name, kind, *rows):
+        spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    spans = [(0.0, 0.4, "ba1"), (0.4, 0.8, "ma1"), (0.8, 1.2, "da1"), (1.2, 1.6, "<sp1>")]
+    put("tier_interval", "interval_id bigint, dataset string, stem string, tier string, ord int, xmin double, xmax double, text string", *[(i, "d", "u", "words", i, *s) for i, s in enumerate(spans)])
+    put("ctc_token", "token_id bigint, dataset string, stem string, start_s double, end_s double, word string", (1, "d", "u", 0.0, 0.4, "ba1"), (2, "d", "u", 0.4, None, "ma1"), (3, "d", "u", 0.8, None, "da1"))
+    put("ctc_punct", "punct_id bigint, dataset string, stem string, start_s double, end_s double, word string", (1, "d", "u", 0.7, None, "，"), (2, "d", "u", 1.2, None, "。"))
+    put("lexicon", "line_no int, token string, phones array<string>", (1, "ba1", ["b", "a1"]))
+    u = kq.assembled(spark, str(tmp_path)).first()
+    assert [tuple(t) for t in u.tokens] == [(0.0, 0.4, "ba1"), (0.4, 0.7, "ma1"), (0.8, 1.2, "da1")]
+    assert [(p.xmin, round(p.xmax, 6), p.text) for p in u.punct] == [(0.7, 0.8, "，"), (1.2, 1.26, "。")]
+    for query in (kq.g2_snapped, kq.g8_fused):
+        made = query(spark, str(tmp_path))
+        made = made.where("tier = 'words'") if "tier" in made.columns else made
+        assert {"ba1", "ma1", "da1"} <= {r.text for r in made.collect()}
+    assert "。" in {r.text for r in kq.g1_punctuated(spark, str(tmp_path)).collect()}
