@@ -18,13 +18,17 @@ def by_time(*keys: str) -> WindowSpec:
     return Window.partitionBy(*(keys or UTT)).orderBy("xmin", "xmax", "interval_id")
 
 
-def tiers(intervals: DataFrame, *names: str) -> DataFrame:
-    """Rows of the named tiers in any letter case, each id once, with both bounds; the tier's name in lower case.
+def tiers(intervals: DataFrame, *names: str, bounded: bool = True) -> DataFrame:
+    """Rows of the named tiers in any letter case, each id once; the tier's name in lower case.
+
+    Rows without both bounds are left out, unless ``bounded`` is false, for operators that look at texts only.
 
     The one exchange, by utterance, also serves the windows that follow.
     """
     t = F.lower("tier").alias("tier")
-    rows = intervals.select("interval_id", *UTT, t, "ord", "xmin", "xmax", "text").where("xmin is not null and xmax is not null")
+    rows = intervals.select("interval_id", *UTT, t, "ord", "xmin", "xmax", "text")
+    if bounded:
+        rows = rows.where("xmin is not null and xmax is not null")
     if names:
         rows = rows.where(F.col("tier").isin(*names))
     return rows.repartition(*UTT).distinct()

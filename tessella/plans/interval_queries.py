@@ -14,8 +14,8 @@ from tessella.session import table
 UTT = list(iv.UTT)
 
 
-def tiers(spark: SparkSession, sf: str, *names: str) -> DataFrame:
-    return iv.tiers(table(spark, sf, "tier_interval"), *names)
+def tiers(spark: SparkSession, sf: str, *names: str, bounded: bool = True) -> DataFrame:
+    return iv.tiers(table(spark, sf, "tier_interval"), *names, bounded=bounded)
 
 
 def anchors(spark: SparkSession, sf: str, name: str, id_col: str, open_too: bool = False) -> DataFrame:

@@ -211,7 +211,7 @@ def j3_ipa_map(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def c2_mapped_phones(spark: SparkSession, sf: str) -> DataFrame:
     """Phones one to one by the map."""
-    return lx.mapped_phones(tiers(spark, sf, "pinyin_phones"), j3_ipa_map(spark, sf)).select("interval_id", "text")
+    return lx.mapped_phones(tiers(spark, sf, "pinyin_phones", bounded=False), j3_ipa_map(spark, sf)).select("interval_id", "text")
 
 
 @query()

@@ -108,3 +108,14 @@ def test_phone_duration_limits(spark):
     words = rows(spark, (0, 1, "ba1"), (1, 2, "hello"), (2, 3, "SIGH"))
     phones = rows(spark, (0, 0.014, "b"), (0.1, 0.115, "a1"), (1.0, 1.6, "en:AA1"), (1.6, 1.609, "en:T"), (2.0, 2.001, "x"), tier="pinyin_phones")
     assert sorted((r.rule, r.text) for r in qc.phone_durations(words.unionByName(phones)).collect()) == [("long_vowel_en", "en:AA1"), ("short_phone", "b"), ("short_phone_en", "en:T")]
+
+
+def test_mapped_phones_without_bounds(spark, small, tmp_path):
+    import shutil
+
+    from tessella.plans import text_queries as tq
+
+    shutil.copy(f"{small}/lexicon.parquet", tmp_path)
+    rows = [(1, "d", "u", "pinyin_phones", 0, 0.0, 1.0, "b"), (2, "d", "u", "Pinyin_Phones", 1, None, 2.0, "b"), (3, "d", "u", "pinyin_phones", 2, 2.0, None, "b")]
+    spark.createDataFrame(rows, KIND).write.parquet(f"{tmp_path}/tier_interval.parquet")
+    assert {r.interval_id for r in tq.c2_mapped_phones(spark, str(tmp_path)).collect()} == {1, 2, 3}
