@@ -688,6 +688,12 @@ def _items(rows) -> list[Item]:
     return [Item(float(r["xmin"]), float(r["xmax"]), r["text"] or "") for r in (rows if rows is not None else [])]
 
 
+def _entries(rows) -> list[dict]:
+    """Aligned English words as dictionaries without nulls; those without text or start match no word."""
+    given = [{k: v for k, v in r.items() if v is not None} for r in (rows if rows is not None else [])]
+    return [e | {"phones": list(e.get("phones", ()))} for e in given if "word_text" in e and "word_start" in e]
+
+
 def fuse_one(words: list[Item], phones: list[Item], tokens: list[Item], punct: list[Item], text: str, lexicon: dict[str, list[str]], audio: np.ndarray | None = None, sr: int = 16000, en_words: Sequence[dict] = ()) -> dict:
     """All phases over one utterance; those by energy only where there is audio. Returns tiers and a report."""
     end = max([w.x1 for w in words], default=0.0)
@@ -725,7 +731,8 @@ FUSED = "dataset string, stem string, tier string, ord int, xmin double, xmax do
 
 def fused(utterances: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
     """Fused tiers of every utterance, one input row each with nested words, phones, tokens, punct (arrays of xmin, xmax,
-    text) and text, and samples and sample_rate where there is audio.
+    text) and text, samples and sample_rate where there is audio, and en_words (rows as of ``lexicon.absolute_phones``)
+    where English words were aligned.
 
     An utterance that fails gives one row with ``error``. The lexicon is bounded by its file and sent once per task.
     """
@@ -737,7 +744,7 @@ def fused(utterances: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
                 try:
                     samples = u.get("samples")
                     audio = None if samples is None else np.asarray(samples, np.float32)
-                    made = fuse_one(*(sorted(_items(u[k]), key=lambda i: (i.x0, i.x1)) for k in ("words", "phones", "tokens", "punct")), u["text"] or "", lexicon, audio, int(u.get("sample_rate") or 16000))
+                    made = fuse_one(*(sorted(_items(u[k]), key=lambda i: (i.x0, i.x1)) for k in ("words", "phones", "tokens", "punct")), u["text"] or "", lexicon, audio, int(u.get("sample_rate") or 16000), _entries(u.get("en_words")))
                     ords: dict[str, int] = {}
                     for tier, a, b, t in made["rows"]:
                         ords[tier] = ords.get(tier, -1) + 1

@@ -322,3 +322,17 @@ def test_tokens_and_anchors_without_end(spark, tmp_path):
         made = made.where("tier = 'words'") if "tier" in made.columns else made
         assert {"ba1", "ma1", "da1"} <= {r.text for r in made.collect()}
     assert "。" in {r.text for r in kq.g1_punctuated(spark, str(tmp_path)).collect()}
+
+
+def test_fused_table_with_english_phones(spark):
+    spans_kind = "array<struct<xmin:double,xmax:double,text:string>>"
+    entry_kind = "array<struct<word_text:string,word_start:double,word_end:double,en_word_start:double,en_word_end:double,phones:array<struct<phone:string,start:double,end:double>>>>"
+    kind = f"dataset string, stem string, words {spans_kind}, phones {spans_kind}, tokens {spans_kind}, punct {spans_kind}, text string, en_words {entry_kind}"
+    words = [(0.0, 0.5, "ba1"), (0.5, 1.0, "hi")]
+    entries = [("hi", 0.5, 1.0, 0.5, 1.0, [("HH", 0.5, 0.7), ("AY1", 0.7, 1.0)]), ("no", 3.0, 3.2, None, None, [])]
+    row = ("d", "u", words, [(0.0, 0.2, "p"), (0.2, 0.5, "a˥"), (0.5, 1.0, "spn")], words, [], "八 hi", entries)
+    bare = (*row[:1], "v", *row[2:7], None)
+    got = fusion.fused(spark.createDataFrame([row, bare], kind), {"ba1": ["b", "a1"]}).collect()
+    assert not [r.error for r in got if r.error]
+    phones = {s: [r.text for r in got if r.stem == s and r.tier == "pinyin_phones"] for s in "uv"}
+    assert phones["u"] == ["b", "a1", "en:HH", "en:AY1"] and "en:HH" not in phones["v"]
