@@ -76,7 +76,33 @@ def test_blocks_equal_one_automaton(spark):
     items = [(i, english(rng, 60)) for i in range(6)]
     docs = [(10 + i, english(rng, 20) + t) for i, t in items]
     want = {(10 + i, i) for i, _ in items}
-    assert found(spark, docs, items) == found(spark, docs, items, block_items=2) == want
+    assert found(spark, docs, items) == found(spark, docs, items, block_tokens=130) == want
+
+
+def test_any_number_of_different_words(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(1000))) for i in range(200)]
+    assert found(spark, [(1, items[150][1]), (2, items[3][1][: len(items[3][1]) // 3])], items) == {(1, 150)}
+
+
+def test_even_changes_are_bridged():
+    rng = random.Random(8)
+    zh = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(150)) for _ in range(10)]
+    en = [" ".join(f"{rng.choice(WORDS)}{rng.randrange(50)}" for _ in range(80)) for _ in range(10)]
+    scanner = lk.Scanner(list(enumerate(zh + en)))
+    for k, text in enumerate(zh + en):
+        units, every = (list(text), 6) if k < 10 else (text.split(" "), 4)
+        units[:: every] = ["字" if k < 10 else "other"] * len(units[::every])
+        assert [i for i, _, _ in scanner.find(("" if k < 10 else " ").join(units))] == [k]
+
+
+def test_tokens_of_a_batch_equal_those_of_each_text():
+    texts = ["Ab c<|x|>d", "", "ﬁ x가나", "\0nul\0", "e\u0301t\u200be [Sigh] 中文", "１２ ab_cd"]
+    whole = lk.tokens(texts)
+    for n, text in enumerate(texts):
+        one = lk.tokens([text])
+        mine = (whole.doc == n) & (whole.name != lk._END)
+        assert whole.name[mine].tolist() == one.name.tolist()
+        assert (whole.at[mine] - sum(len(x) + 1 for x in texts[:n])).tolist() == one.at.tolist()
 
 
 def test_empty_sides_and_odd_items(spark):
