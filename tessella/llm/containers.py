@@ -1,35 +1,38 @@
 """Filling containers of fixed capacity with documents measured in tokens.
 
-Linear grouping scheme: large lengths are rounded up within groups of equal cardinality, configurations of the few
-sizes left are optimised by linear programming with generated columns, actual documents take the places of the rounded
-ones, and small documents go by best fit into the room that remains.
+Linear grouping scheme over one histogram of lengths for the whole collection: large lengths are rounded up within
+groups of equal cardinality, configurations of the few sizes left are optimised by linear programming with generated
+columns, actual documents take the places of the rounded ones, and small documents go by best fit into the room that
+remains. The plan is made of counts, so its size depends on the capacity, not on the documents; each document finds its
+container by its length and its rank among the documents of that length.
 """
 
 from __future__ import annotations
 
 import base64
-import math
+import hashlib
 import os
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.session import written
 
-#: Documents of one packing block; a block leaves at most a few containers partly empty.
-BLOCK_DOCS = 50_000
+#: Documents of one length that are ranked in one task; more are ranked in parts by a hash of their id.
+RANKED_DOCS = 500_000
 #: Sizes that large lengths are rounded up to.
 GROUPS = 24
 #: Shares of the capacity above which lengths count as large, tried in turn: the more documents count as small, the
 #: better they fill what rounding leaves; the fewer, the more the configurations decide.
 LARGE = (0.25, 0.33, 0.5, 0.05)
 #: A packing within this share of the least number of containers possible ends the trials.
-CLOSE = 0.002
+CLOSE = 0.0005
+#: Bytes of a vocabulary file that are sent to the tasks; a larger one is read by each worker from its path.
+SENT_VOCABULARY = 64 << 20
 
 
 def tokenizer_path(name: str = "byte_bpe_multi_50k.tiktoken", folder: str | None = None) -> str:
@@ -37,37 +40,58 @@ def tokenizer_path(name: str = "byte_bpe_multi_50k.tiktoken", folder: str | None
     return os.path.join(folder or os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), name)
 
 
-@lru_cache(4)
-def token_counter(path: str) -> Callable[[list[str]], list[int]]:
-    """A function giving the numbers of tokens of texts, by the kind of vocabulary file."""
-    if path.endswith(".tiktoken"):
+_COUNTERS: dict[str, Callable[[list[str]], list[int]]] = {}
+
+
+def counter_of(name: str, data: bytes) -> Callable[[list[str]], list[int]]:
+    """A function giving the numbers of tokens of texts, from a vocabulary file's name, for its kind, and content."""
+    key = f"{name} {hashlib.sha256(data).hexdigest()}"
+    if key not in _COUNTERS:
+        _COUNTERS[key] = _loaded(name, data)
+    return _COUNTERS[key]
+
+
+def _loaded(name: str, data: bytes) -> Callable[[list[str]], list[int]]:
+    if name.endswith(".tiktoken"):
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         # Fixed value: the public splitting pattern of these vocabularies.
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        encoding = tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoding = tiktoken.Encoding(os.path.basename(name), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         return lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
-    if path.endswith(".model"):
+    if name.endswith(".model"):
         import sentencepiece
 
-        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = sentencepiece.SentencePieceProcessor(model_proto=data)
         return lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1)]
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path)
+    model = Tokenizer.from_buffer(data)
     model.encode_special_tokens = True
     return lambda texts: [len(x.ids) for x in model.encode_batch(texts, add_special_tokens=False)]
 
 
+def _content(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def token_counter(path: str) -> Callable[[list[str]], list[int]]:
+    return counter_of(path, _content(path))
+
+
 def token_lengths(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens) of every document, once; a null text has no tokens. Rows without id are left out."""
+    """(doc_id, n_tokens) of every document, once; a null text has no tokens. Rows without id are left out.
+
+    The vocabulary is read where the plan is made and sent to the tasks, up to ``SENT_VOCABULARY`` bytes.
+    """
     path = path or tokenizer_path()
     rows = documents.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    sent = documents.sparkSession.sparkContext.broadcast(_content(path)) if os.path.exists(path) and os.path.getsize(path) <= SENT_VOCABULARY else None
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = token_counter(path)
+        count = counter_of(path, sent.value) if sent is not None else token_counter(path)
         for b in batches:
             n = count([t or "" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
@@ -124,104 +148,176 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
     return [(basis[:, k].astype(np.int64), int(u)) for k, u in enumerate(uses) if u]
 
 
-def pack(lengths: np.ndarray, capacity: int, groups: int = GROUPS, shares: tuple[float, ...] = LARGE) -> np.ndarray:
-    """The container of each item, by the trial with the fewest containers; every length is between 0 and ``capacity``."""
-    least = -(-int(lengths.sum()) // capacity)
-    best = None
-    for large in shares:
-        place = pack_once(lengths, capacity, groups, large)
-        if best is None or place.max(initial=-1) < best.max(initial=-1):
-            best = place
-        if best.max(initial=-1) + 1 <= least * (1 + CLOSE) + 1:
-            break
-    return best
+class Plan:
+    """Containers for the documents of a histogram: each run of ranks of a length goes to successive containers.
 
+    Documents are thought in one order, longest first; ``takes`` has (from, to, container, per): the documents at these
+    places go ``per`` to a container. ``rooms`` has the containers with room left, as runs of numbers by their room.
+    """
 
-def pack_once(lengths: np.ndarray, capacity: int, groups: int, large: float) -> np.ndarray:
-    """One packing in which lengths above the share ``large`` of the capacity go by configurations."""
-    n = len(lengths)
-    place = np.full(n, -1, np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    big = order[lengths[order] > large * capacity]
-    rest: list[int] = []
-    rooms: list[int] = []
-    if len(big):
+    def __init__(self, lengths: np.ndarray, counts: np.ndarray, capacity: int):
+        order = np.argsort(-lengths)
+        self.lengths, self.counts, self.capacity = lengths[order], counts[order], capacity
+        self.ends = np.cumsum(self.counts)
+        self.containers = 0
+        self.takes: list[tuple[int, int, int, int]] = []
+        self.rooms: dict[int, list[tuple[int, int]]] = {}
+        self.sizes: list[int] = []  # rooms that occur, ascending
+
+    def length_at(self, place: np.ndarray | int) -> np.ndarray:
+        return self.lengths[np.searchsorted(self.ends, place, side="right")]
+
+    def leave(self, first: int, last: int, room: int) -> None:
+        """Containers from ``first`` to before ``last`` have ``room`` left."""
+        if room > 0 and last > first:
+            if room not in self.rooms:
+                self.rooms[room] = []
+                insort(self.sizes, room)
+            self.rooms[room].append((first, last))
+
+    def configured(self, groups: int, large: float) -> list[tuple[int, int]]:
+        """Places of large documents by configurations; the stretches of places that are left over."""
+        n = int(self.counts[self.lengths > large * self.capacity].sum())
+        if not n:
+            return [(0, int(self.ends[-1]))]
+        k = min(groups, n)
+        cuts = [n * g // k for g in range(k + 1)]
         # groups of equal cardinality, each rounded up to its largest length; equal sizes fall together
-        cuts = np.array_split(big, min(groups, len(big)))
-        by_size: dict[int, list[int]] = {}
-        for g in cuts:
-            by_size.setdefault(int(lengths[g[0]]), []).extend(g.tolist())
-        sizes = np.array(list(by_size), np.int64)
-        members = list(by_size.values())
-        used = [0] * len(sizes)
-        for configuration, uses in configurations(sizes, np.array([len(m) for m in members]), capacity):
+        sizes, froms = [], []
+        for c in cuts[:-1]:
+            size = int(self.length_at(c))
+            if not sizes or sizes[-1] != size:
+                sizes.append(size)
+                froms.append(c)
+        at, stop = froms.copy(), [*froms[1:], n]
+        for configuration, uses in configurations(np.array(sizes), np.array([b - a for a, b in zip(froms, stop, strict=True)]), self.capacity):
             kinds = [(k, int(c)) for k, c in enumerate(configuration) if c]
-            for _ in range(uses):
-                held = 0
-                filled = False
-                for k, c in kinds:
-                    for item in members[k][used[k] : used[k] + c]:
-                        place[item] = len(rooms)
-                        held += int(lengths[item])
-                        filled = True
-                    used[k] += c
-                if filled:
-                    rooms.append(capacity - held)
-        for k, m in enumerate(members):
-            rest += m[used[k] :]
-    # best fit, longest first, of what the configurations left and of the small
-    small = [int(i) for i in order if lengths[i] <= large * capacity]
-    free = sorted((room, k) for k, room in enumerate(rooms))
-    for item in [*sorted(rest, key=lambda i: (-lengths[i], i)), *small]:
-        need = int(lengths[item])
-        at = bisect_left(free, (need, -1))
-        if at < len(free):
-            room, k = free.pop(at)
-        else:
-            room, k = capacity, len(rooms)
-            rooms.append(capacity)
-        place[item] = k
-        if room > need:
-            insort(free, (room - need, k))
-    return place
+            uses = min(uses, *[(stop[k] - at[k]) // c for k, c in kinds])
+            if not uses:
+                continue
+            # the uses between two changes of a length all leave the same room
+            breaks = {0, uses}
+            for k, c in kinds:
+                inner = self.ends[(self.ends > at[k]) & (self.ends < at[k] + uses * c)] - at[k]
+                breaks |= set((inner // c).tolist()) | set((-(-inner // c)).tolist())
+                self.takes.append((at[k], at[k] + uses * c, self.containers, c))
+            marks = np.array(sorted(breaks))
+            held = sum(self.length_at(at[k] + marks[:-1, None] * c + np.arange(c)).sum(1) for k, c in kinds)
+            for a, b, h in zip(marks[:-1].tolist(), marks[1:].tolist(), held.tolist(), strict=True):
+                self.leave(self.containers + a, self.containers + b, self.capacity - h)
+            for k, c in kinds:
+                at[k] += uses * c
+            self.containers += uses
+        return [*[(a, b) for a, b in zip(at, stop, strict=True) if a < b], *([(n, int(self.ends[-1]))] if n < self.ends[-1] else [])]
+
+    def fitted(self, place: int, stop: int) -> None:
+        """Best fit of places of one length, as many at once as go the same way."""
+        need, end = int(self.length_at(place)), self.containers
+        if not need:
+            self.takes.append((place, stop, 0, stop - place))  # documents without tokens take no room
+            self.containers = max(1, end)
+            return
+        while place < stop:
+            at = bisect_left(self.sizes, need)
+            if at == len(self.sizes):
+                per = self.capacity // need
+                whole, rest = divmod(stop - place, per)
+                self.takes.append((place, stop, self.containers, per))
+                self.leave(self.containers, self.containers + whole, self.capacity - per * need)
+                self.containers += whole
+                if rest:
+                    self.leave(self.containers, self.containers + 1, self.capacity - rest * need)
+                    self.containers += 1
+                return
+            room = self.sizes[at]
+            first, last = self.rooms[room].pop()
+            if not self.rooms[room]:
+                del self.rooms[room], self.sizes[at]
+            per = room // need
+            n = min(stop - place, per * (last - first))
+            whole, rest = divmod(n, per)
+            self.takes.append((place, place + n, first, per))
+            self.leave(first, first + whole, room - per * need)
+            if rest:
+                self.leave(first + whole, first + whole + 1, room - rest * need)
+            self.leave(first + whole + bool(rest), last, room)
+            place += n
+
+    def rows(self) -> list[tuple[int, int, int, int, int, int]]:
+        """(length, rank_from, rank_to, container, shift, per): a document of that length and rank goes to ``container`` +
+        (rank + ``shift``) // ``per``."""
+        out = []
+        for a, b, container, per in self.takes:
+            for i in range(int(np.searchsorted(self.ends, a, side="right")), int(np.searchsorted(self.ends, b - 1, side="right")) + 1):
+                begin = int(self.ends[i] - self.counts[i])
+                out.append((int(self.lengths[i]), max(a, begin) - begin, min(b, int(self.ends[i])) - begin, container, begin - a, per))
+        return out
+
+
+def planned(lengths: np.ndarray, counts: np.ndarray, capacity: int, groups: int = GROUPS, shares: tuple[float, ...] = LARGE) -> Plan:
+    """The plan with the fewest containers of those tried; every length is between 0 and ``capacity``, with a count."""
+    least = -(-int((lengths * counts).sum()) // capacity)
+    best = None
+    for large in shares:
+        plan = Plan(lengths, counts, capacity)
+        # longest first, of what the configurations left and of the small
+        for a, b in sorted(plan.configured(groups, large)) if len(lengths) else []:
+            while a < b:
+                stop = min(b, int(plan.ends[np.searchsorted(plan.ends, a, side="right")]))
+                plan.fitted(a, stop)
+                a = stop
+        if best is None or plan.containers < best.containers:
+            best = plan
+        if best.containers <= least * (1 + CLOSE) + 1:
+            break
+    return best
 
 
-_SCHEMA = "doc_id bigint, piece int, from_token bigint, to_token bigint, n_tokens bigint, container string, capacity int"
+def pack(lengths: np.ndarray, capacity: int, groups: int = GROUPS, shares: tuple[float, ...] = LARGE) -> np.ndarray:
+    """The container of each item of an array."""
+    sizes, counts = np.unique(lengths, return_counts=True)
+    plan = planned(sizes.astype(np.int64), counts.astype(np.int64), capacity, groups, shares)
+    place, out = np.argsort(-np.asarray(lengths), kind="stable"), np.empty(len(lengths), np.int64)
+    for a, b, container, per in plan.takes:
+        out[place[a:b]] = container + np.arange(b - a) // per
+    return out
 
 
-def packed(lengths: DataFrame, capacity: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def packed(lengths: DataFrame, capacity: int, ranked_docs: int = RANKED_DOCS) -> DataFrame:
     """A container for every document: (doc_id, piece, from_token, to_token, n_tokens, container, capacity).
 
-    Only a document longer than ``capacity`` is divided, into full containers and one last piece. Documents are
-    spread over blocks of about ``block_docs`` by a hash of their id and each block is packed by itself, so that no
-    task holds more than its block's lengths, whatever the collection's size; of texts only lengths are moved.
-    Empty documents take no room and are placed like any other. An empty table gives no rows.
+    Only a document longer than ``capacity`` is divided, into full containers and one last piece. One histogram of the
+    last pieces' lengths, at most ``capacity`` rows, goes to the driver; the plan that comes back is broadcast, and its
+    size depends on the capacity alone. Documents of one length are ranked in parts of about ``ranked_docs`` by a hash
+    of their id, so that a length that most documents have is spread; of texts only lengths are moved. The containers
+    don't depend on the number of parts. Empty documents take no room and share the first container. An empty table
+    gives no rows. ``lengths`` is read three times: write it first.
     """
     if capacity < 1:
         raise ValueError("capacity must be at least one token")
-    blocks = max(1, math.ceil(lengths.count() / block_docs))
-    keyed = lengths.select("doc_id", "n_tokens", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
-
-    def kernel(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
-        ids, n = table.column("doc_id").to_numpy(), table.column("n_tokens").to_numpy()
-        order = np.argsort(ids)
-        ids, n = ids[order], n[order]
-        full = np.maximum(0, -(-n // capacity) - 1)  # whole containers of a document besides its last piece
-        place = pack(n - full * capacity, capacity)
-        doc = np.repeat(ids, full + 1)
-        piece = np.arange(len(doc)) - np.repeat(np.cumsum(full + 1) - (full + 1), full + 1)
-        length = np.repeat(n, full + 1)
-        last = piece == np.repeat(full, full + 1)
-        start = piece * capacity
-        stop = np.where(last, length, start + capacity)
-        names = np.where(last, np.char.add(f"{block}-", np.repeat(place, full + 1).astype(str)), np.char.add(np.char.add(f"{block}-d", doc.astype(str)), np.char.add("-", piece.astype(str))))
-        return pa.table({
-            "doc_id": pa.array(doc), "piece": pa.array(piece.astype(np.int32)), "from_token": pa.array(start), "to_token": pa.array(stop),
-            "n_tokens": pa.array(stop - start), "container": pa.array(names.tolist(), pa.string()), "capacity": pa.array(np.full(len(doc), capacity, np.int32)),
-        })
-
-    return keyed.groupBy("block").applyInArrow(kernel, _SCHEMA)
+    spark = lengths.sparkSession
+    whole = F.greatest(F.lit(0), F.ceil(F.col("n_tokens") / capacity) - 1).cast("bigint")
+    cut = lengths.select("doc_id", "n_tokens", whole.alias("whole")).withColumn("rest", F.col("n_tokens") - F.col("whole") * capacity)
+    hist = cut.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).collect()
+    plan = planned(np.array([r.rest for r in hist], np.int64), np.array([r.n for r in hist], np.int64), capacity)
+    parts = max(1, -(-max([r.n for r in hist], default=0) // ranked_docs))
+    keyed = cut.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+    local = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("rest", "part").orderBy("doc_id")) - 1)
+    if parts > 1:
+        before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = keyed.groupBy("rest", "part").agg(F.count(F.lit(1)).alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0))).drop("_k")
+        local = local.join(offsets, ["rest", "part"]).withColumn("_n", F.col("_n") + F.col("_before"))
+    table = F.broadcast(spark.createDataFrame(plan.rows(), "rest bigint, rank_from bigint, rank_to bigint, first bigint, shift bigint, per bigint"))
+    placed = local.join(table, (local["rest"] == table["rest"]) & (local["_n"] >= table["rank_from"]) & (local["_n"] < table["rank_to"]))
+    number = (F.col("first") + F.floor((F.col("_n") + F.col("shift")) / F.col("per"))).cast("string")
+    pieces = placed.select("doc_id", "n_tokens", "whole", number.alias("number"), F.explode(F.sequence(F.lit(0), F.col("whole"))).alias("p"))
+    last, start = F.col("p") == F.col("whole"), F.col("p") * capacity
+    stop = F.when(last, F.col("n_tokens")).otherwise(start + capacity)
+    name = F.when(last, F.concat(F.lit("c"), "number")).otherwise(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("-"), F.col("p").cast("string")))
+    return pieces.select(
+        "doc_id", F.col("p").cast("int").alias("piece"), start.cast("bigint").alias("from_token"), stop.cast("bigint").alias("to_token"),
+        (stop - start).cast("bigint").alias("n_tokens"), name.alias("container"), F.lit(capacity).cast("int").alias("capacity"),
+    )
 
 
 def fill_containers(documents: DataFrame, capacity: int = 2048, path: str | None = None) -> DataFrame:

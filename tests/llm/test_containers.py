@@ -57,17 +57,46 @@ def test_every_document_once(spark):
     assert max(held.values()) <= 512
 
 
-def test_blocks_and_empty(spark):
+def test_many_parts_and_empty(spark):
     lengths = spark.range(5000).selectExpr("id as doc_id", "1 + id * 37 % 700 as n_tokens")
-    made = ct.packed(lengths, 512, block_docs=1000)
+    made = ct.packed(lengths, 512, ranked_docs=3)
     assert made.select("doc_id").distinct().count() == 5000
     assert made.groupBy("container").agg({"n_tokens": "sum"}).where("`sum(n_tokens)` > 512").count() == 0
-    assert ct.room_left(made).first().unused < 0.02
+    left = ct.room_left(made).first()
+    assert left.unused < 0.02 and left.containers == ct.room_left(ct.packed(lengths, 512)).first().containers
     assert ct.fill_containers(docs(spark, []), 512).count() == 0
     with pytest.raises(ValueError):
         ct.packed(lengths, 0)
 
 
+def test_hot_length_and_many_documents(spark):
+    lengths = spark.range(150_000).selectExpr("id as doc_id", "case when id % 3 = 0 then 300 else 1 + pmod(xxhash64(id), 2000) end as n_tokens")
+    for capacity in (512, 4096):
+        made = ct.packed(lengths, capacity, ranked_docs=20_000)
+        left = ct.room_left(made).first()
+        over = made.groupBy("container").agg({"n_tokens": "sum"}).where(f"`sum(n_tokens)` > {capacity}").count()
+        assert (made.select("doc_id").distinct().count(), made.count() >= 150_000, over) == (150_000, True, 0)
+        assert left.unused < (0.12 if capacity == 512 else 0.002)  # two of 300 do not fit into 512
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_plans_hold_every_item_once(seed):
+    rng = np.random.default_rng(seed)
+    capacity = int(rng.integers(5, 60))
+    lengths = rng.integers(0, capacity + 1, int(rng.integers(1, 400)))
+    sizes, counts = np.unique(lengths, return_counts=True)
+    plan = ct.planned(sizes, counts, capacity)
+    held = np.zeros(plan.containers, np.int64)
+    seen = {}
+    for length, a, b, first, shift, per in plan.rows():
+        seen.setdefault(length, []).extend(range(a, b))
+        np.add.at(held, first + (np.arange(a, b) + shift) // per, length)
+    assert {k: sorted(v) for k, v in seen.items()} == {int(k): list(range(n)) for k, n in zip(sizes, counts, strict=True)}
+    assert held.max() <= capacity and held.sum() == lengths.sum()
+    least = max(-(-int(lengths.sum()) // capacity), int((lengths * 2 > capacity).sum()))
+    assert plan.containers <= least * 1.12 + 2
+
+
 def test_tokenizers_agree_with_their_kinds():
     for name in ("byte_bpe_50k.tiktoken", "piece_bpe_32k.model", "word_bpe_49k.json"):
         n = ct.token_counter(ct.tokenizer_path(name))(["", "hello world", "<|endoftext|>"])
