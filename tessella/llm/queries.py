@@ -72,6 +72,13 @@ def p5_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.event_runs(table(spark, sf_dir, "ctc_token")).select("dataset", "stem", "first_id", "last_id", "key", "n", "start_s", "end_s", "duration_s")
 
 
+@query()
+def p5_alike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of tokens alike by three quarters of their letters, each within two seconds of the run before it, as one token."""
+    found = runs.event_runs(table(spark, sf_dir, "ctc_token"), min_similarity=0.75, max_gap_s=2.0)
+    return found.select("dataset", "stem", "first_id", "last_id", "key", "n", "start_s", "end_s", "duration_s")
+
+
 @query()
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold half or more of a test item's wording."""

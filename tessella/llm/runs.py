@@ -1,8 +1,8 @@
 """Runs of alike consecutive events, each collapsed into one event with its count and duration.
 
 Adjacent agglomeration: per entity and time shard a linked list of runs and a priority queue of neighbouring pairs;
-the most similar pair within the limits is merged until none is left. Runs that meet at a shard's border are then
-agglomerated in the same way over the entity.
+the most similar pair within the limits is merged until none is left. What could merge across a shard's border is
+agglomerated in the same way afterwards, from its events of equal key on, so that shards don't change the result.
 """
 
 from __future__ import annotations
@@ -129,16 +129,17 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
 
 def _islands(keys: list[str | None], starts: list[float], ends: list[float], min_similarity: float, max_gap: float) -> Iterator[tuple[int, int]]:
     """Stretches within which neighbours could merge; complete linkage never crosses their borders."""
-    a = 0
+    a, reach = 0, float("-inf")  # a run ends no later than its stretch so far
     for i in range(1, len(keys) + 1):
-        if i < len(keys) and keys[i] is not None and starts[i] - ends[i - 1] <= max_gap and (keys[i] == keys[i - 1] or (min_similarity < 1 and similarity(keys[i - 1], keys[i]) >= min_similarity)):
+        reach = max(reach, ends[i - 1])
+        if i < len(keys) and keys[i] is not None and starts[i] - reach <= max_gap and (keys[i] == keys[i - 1] or (min_similarity < 1 and similarity(keys[i - 1], keys[i]) >= min_similarity)):
             continue
         yield a, i
-        a = i
+        a, reach = i, float("-inf")
 
 
 def shard_runs(tokens: DataFrame, min_similarity: float, max_gap_s: float, shard_s: float = SHARD_S) -> DataFrame:
-    """Runs of two or more events of each shard, and the runs at its borders whatever their length."""
+    """Runs of two or more events of each shard; of the stretches at its borders the runs of equal keys, whatever their length."""
     one = (
         tokens.where("token_id is not null and start_s is not null and not isnan(start_s)")
         .select("dataset", "stem", "token_id", F.struct("start_s", F.coalesce("end_s", "start_s").alias("end_s"), "word").alias("v"))
@@ -160,10 +161,12 @@ def shard_runs(tokens: DataFrame, min_similarity: float, max_gap_s: float, shard
                 if b - a == 1 and a > 0 and b < last:
                     continue
                 members = [Run(ids[i], ids[i], starts[i], ends[i], 1, (keys[i],)) for i in range(a, b)]
-                made = agglomerate(members, min_similarity, max_gap_s) if b - a > 1 else members
+                # equal neighbours merge first whatever the limit; the rest waits where the stretch may go on beyond the shard
+                border = a == 0 or b == last
+                made = agglomerate(members, 1.0 if border else min_similarity, max_gap_s) if b - a > 1 else members
                 for k, r in enumerate(made):
-                    left, right = a == 0 and k == 0, b == last and k == len(made) - 1
-                    if r.n > 1 or left or right:
+                    if r.n > 1 or border:
+                        left, right = border and (k > 0 or a == 0), border and (k < len(made) - 1 or b == last)
                         out.append((dataset, stem, shard, a + k, r.first_id, r.last_id, r.start, r.end, r.n, list(r.keys), left, right))
             if len(out) >= 4096:
                 yield _batch(out)
@@ -180,9 +183,9 @@ def event_runs(tokens: DataFrame, min_similarity: float = 1.0, max_gap_s: float
     ``tokens`` has dataset, stem, token_id, word, start_s and end_s; other columns are ignored. Order is start_s, then
     token_id; a token_id counts once. A missing end counts as the start. Rows without id or start are left out; a null
     word, or one of nothing but marks, is alike to none. Returns (dataset, stem, first_id, last_id, n, start_s, end_s,
-    duration_s, key). Similarity below 1 is the edit similarity of ``alike_key`` under complete linkage; with it, runs
-    are agglomerated within time shards of ``shard_s`` seconds before those that meet at a border. Memory is bounded by
-    one time shard of one utterance.
+    duration_s, key). Similarity below 1 is the edit similarity of ``alike_key`` under complete linkage. The length of a
+    time shard, ``shard_s``, does not change the result. Memory is bounded by one time shard of one utterance, and by the
+    longest stretch of events each alike to the next that crosses a shard's border; runs of equal keys count there as one.
     """
     border = shard_runs(tokens, min_similarity, max_gap_s, shard_s).withColumn("_key", F.xxhash64("dataset", "stem")).repartition("_key").sortWithinPartitions("_key", "dataset", "stem", "shard", "seq")
 
@@ -195,15 +198,17 @@ def event_runs(tokens: DataFrame, min_similarity: float = 1.0, max_gap_s: float
                     out.append((dataset, stem, 0, 0, r.first_id, r.last_id, r.start, r.end, r.n, list(r.keys), True, True))
 
         held: tuple[tuple, list[Run]] | None = None
+        reach = float("-inf")  # latest end of the stretch held
         for batch in batches:
             for row in batch.to_pylist():
                 run, at = Run(*(row[k] for k in _NAMES[4:9]), tuple(row["keys"]), row["open_left"], row["open_right"]), (row["dataset"], row["stem"])
-                if held and held[0] == at and linkage(held[1][-1], run, max_gap_s) >= min_similarity > 0:
+                if held and held[0] == at and run.start - reach <= max_gap_s and linkage(held[1][-1], run, float("inf")) >= min_similarity > 0:
                     held[1].append(run)
+                    reach = max(reach, run.end)
                 else:
                     if held:
                         close(*held[0], held[1])
-                    held = (at, [run])
+                    held, reach = (at, [run]), run.end
             if len(out) >= 4096:
                 yield _batch(out)
                 out.clear()

@@ -103,3 +103,14 @@ def test_agglomeration_by_similarity():
 def test_most_similar_first(spark):
     assert found(spark, seq(["abcd", "abce", "abce", "abff"]), min_similarity=0.5) == {(0, 3, 4)}
     assert rn.similarity("abc", "abd") == 1 - 1 / 3 and rn.similarity(None, None) == 0.0
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["abcd", "abce", "abff", "abcd", "xyz", None]), st.integers(1, 4), st.integers(0, 9)), max_size=30), st.sampled_from([1.0, 3.0, 600.0]), st.sampled_from([0.5, 2.0, float("inf")]))
+def test_shards_do_not_change_the_result(spark, events, shard, gap):
+    rows, now = [], 0
+    for i, (word, step, lasts) in enumerate(events):
+        now += step
+        rows.append(("d", "u", i, word, float(now), float(now + lasts / 2)))
+    whole = rn.agglomerate([rn.Run(r[2], r[2], r[4], r[5], 1, (r[3],)) for r in rows], 0.5, gap)
+    assert found(spark, rows, min_similarity=0.5, max_gap_s=gap, shard_s=shard) == {(r.first_id, r.last_id, r.n) for r in whole if r.n > 1}
