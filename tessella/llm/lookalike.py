@@ -84,41 +84,69 @@ def fold_rows() -> list[tuple[str, list[tuple[str, int]]]]:
 
 @lru_cache(1)
 def compositions() -> dict[str, str]:
-    """Base with mark -> composed character, by the canonical rule."""
+    """Pair -> composed character, by the canonical rule; Hangul goes by arithmetic instead."""
     out = {}
     for cp in range(0xC0, 0x30000):
         parts = unicodedata.decomposition(chr(cp)).split()
         if len(parts) == 2 and parts[0][0] != "<":
             pair = "".join(chr(int(x, 16)) for x in parts)
-            if unicodedata.normalize("NFC", pair) == chr(cp) and unicodedata.combining(pair[1]):
+            if unicodedata.normalize("NFC", pair) == chr(cp):
                 out[pair] = chr(cp)
     return out
 
 
+@lru_cache(1)
+def attaching() -> list[str]:
+    """Characters without combining class that may compose with the one before: Hangul vowels and finals, vowel signs."""
+    return [*map(chr, (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))), *sorted({p[1] for p in compositions() if not unicodedata.combining(p[1])})]
+
+
 def fold_table(spark: SparkSession) -> DataFrame:
     """The mappings as a table; its size is that of the Unicode tables, some twenty thousand rows."""
     return spark.createDataFrame(fold_rows(), "ch string, parts array<struct<part:string,ccc:int>>")
 
 
-#: Before each base, and in place of a base that a text lacks; folding takes both out of texts.
-_BASE, _NONE = "\x01", "\x02"
+#: Before each base, in place of a base that a text lacks, and before one that may compose with the base before; folding
+#: takes all three out of texts.
+_BASE, _NONE, _JOIN = "\x01", "\x02", "\x03"
 
 
-def _recomposed(cluster: Column) -> Column:
-    """A base and its marks, each mark behind three digits of its class, in the order of classes and composed."""
+def _char(code: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+
+
+def _composed(base: Column, after: Column) -> Column:
+    """The character composed of two, or null."""
     pairs = F.create_map(*[F.lit(x) for kv in sorted(compositions().items()) for x in kv])
-    marks = F.regexp_extract_all(cluster, F.lit(r"(?s)(?<=.)(\d{3}.)"), F.lit(1))
-    ranked = F.sort_array(F.transform(marks, lambda m, i: F.concat(F.substring(m, 1, 3), F.lpad(i.cast("string"), 7, "0"), F.substring(m, 4, 1))))
-    start = F.struct(F.substring(cluster, 1, 1).alias("base"), F.lit("").alias("rest"), F.lit("000").alias("last"))
+    a, b = F.ascii(base), F.ascii(after)
+    syllable = F.when(a.between(0x1100, 0x1112) & b.between(0x1161, 0x1175), _char(0xAC00 + ((a - 0x1100) * 21 + (b - 0x1161)) * 28)).when(
+        a.between(0xAC00, 0xD7A3) & ((a - 0xAC00) % 28 == 0) & b.between(0x11A8, 0x11C2), _char(a + b - 0x11A7)
+    )
+    return F.coalesce(syllable, F.try_element_at(pairs, F.concat(base, after)))
+
+
+def _recomposed(cluster: Column) -> Column:
+    """A base and its marks, each mark behind three digits of its class, in the order of classes and composed; likewise
+    for each base after it that may compose with it."""
 
     def add(acc: Column, m: Column) -> Column:
         mark, ccc = F.substring(m, 11, 1), F.substring(m, 1, 3)
-        made = F.when(acc["last"] < ccc, F.try_element_at(pairs, F.concat(acc["base"], mark)))
+        made = F.when(acc["last"] < ccc, _composed(acc["base"], mark))
         return F.when(made.isNotNull(), F.struct(made.alias("base"), acc["rest"].alias("rest"), acc["last"].alias("last"))).otherwise(
             F.struct(acc["base"].alias("base"), F.concat(acc["rest"], mark).alias("rest"), ccc.alias("last"))
         )
 
-    return F.aggregate(ranked, start, add, lambda a: F.concat(a["base"], a["rest"]))
+    def join(acc: Column, part: Column) -> Column:
+        own = F.substring(part, 1, 1)
+        made = F.when(acc["rest"] == "", _composed(acc["base"], own))
+        done = F.when(made.isNotNull(), acc["done"]).otherwise(F.concat(acc["done"], acc["base"], acc["rest"]))
+        marks = F.regexp_extract_all(part, F.lit(r"(?s)(?<=.)(\d{3}.)"), F.lit(1))
+        ranked = F.sort_array(F.transform(marks, lambda m, i: F.concat(F.substring(m, 1, 3), F.lpad(i.cast("string"), 7, "0"), F.substring(m, 4, 1))))
+        start = F.struct(F.coalesce(made, own).alias("base"), F.lit("").alias("rest"), F.lit("000").alias("last"))
+        return F.aggregate(ranked, start, add, lambda x: F.struct(done.alias("done"), x["base"].alias("base"), x["rest"].alias("rest")))
+
+    none = F.struct(F.lit("").alias("done"), F.lit("").alias("base"), F.lit("").alias("rest"))
+    return F.aggregate(F.split(cluster, _JOIN), none, join, lambda x: F.concat(x["done"], x["base"], x["rest"]))
 
 
 def _rebuilt(parts: Column) -> Column:
@@ -126,11 +154,17 @@ def _rebuilt(parts: Column) -> Column:
 
     Bases and their marks are strung together and parted again, so that a text's length counts once, not squared.
     """
-    marked = F.transform(parts, lambda p, i: F.when(p["ccc"] == 0, F.concat(F.lit(_BASE), p["part"])).otherwise(F.concat(F.when(i == 0, _BASE + _NONE).otherwise(""), F.lpad(p["ccc"].cast("string"), 3, "0"), p["part"])))
+    joins = lambda p: p["part"].isin(attaching())
+    marked = F.transform(
+        parts,
+        lambda p, i: F.when((p["ccc"] == 0) & ((i == 0) | ~joins(p)), F.concat(F.lit(_BASE), p["part"]))
+        .when(p["ccc"] == 0, F.concat(F.lit(_JOIN), p["part"]))
+        .otherwise(F.concat(F.when(i == 0, _BASE + _NONE).otherwise(""), F.lpad(p["ccc"].cast("string"), 3, "0"), p["part"])),
+    )
     clusters = F.split(F.array_join(marked, ""), _BASE)
     joined = F.array_join(F.transform(clusters, lambda c: F.when(F.length(c) <= 1, c).otherwise(_recomposed(c))), "")
     plain = F.array_join(F.transform(parts, lambda p: p["part"]), "")
-    return F.when(F.exists(parts, lambda p: p["ccc"] > 0), F.replace(joined, F.lit(_NONE), F.lit(""))).otherwise(plain)
+    return F.when(F.exists(parts, lambda p: (p["ccc"] > 0) | joins(p)), F.replace(joined, F.lit(_NONE), F.lit(""))).otherwise(plain)
 
 
 def text_id(text: Column) -> Column:
@@ -138,58 +172,59 @@ def text_id(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def forms(texts: DataFrame, column: str) -> DataFrame:
-    """(tid, form) for each distinct non-null text of ``column``; ``tid`` is ``text_id`` of the text.
+def forms(texts: DataFrame) -> DataFrame:
+    """``texts`` with its ``form``; it has distinct non-null ``text`` with their ``tid`` = ``text_id``, and maybe more.
 
     Every distinct text is treated once, however many rows hold it. Code points are spread over the partitions of
     their text's id, and the strings are rebuilt there without another shuffle. The empty text has the empty form.
-    Hangul stays decomposed into its letters, which is one form for both spellings.
+    ``texts`` is read twice: write it first.
     """
     spark = texts.sparkSession
-    own = texts.where(F.col(column).isNotNull()).select(F.col(column).alias("text")).withColumn("tid", text_id(F.col("text"))).repartition("tid").dropDuplicates(["tid", "text"])
-    points = own.select("tid", F.posexplode_outer(F.regexp_extract_all("text", F.lit("(?s)(.)"), F.lit(1))).alias("pos", "ch"))
+    points = texts.select("tid", "text").repartition("tid").select("tid", F.posexplode_outer(F.regexp_extract_all("text", F.lit("(?s)(.)"), F.lit(1))).alias("pos", "ch"))
     mapped = points.join(F.broadcast(fold_table(spark)), "ch", "left")
     part = F.when(F.col("ch").isNull(), F.lit(None)).otherwise(F.coalesce("parts", F.array(F.struct(F.col("ch").alias("part"), F.lit(0).alias("ccc")))))
     whole = mapped.select("tid", F.struct("pos", part.alias("parts")).alias("p")).groupBy("tid").agg(F.sort_array(F.collect_list("p")).alias("ps"))
     flat = F.flatten(F.filter(F.col("ps.parts"), lambda x: x.isNotNull()))
-    return whole.select("tid", flat.alias("parts")).select("tid", _rebuilt(F.col("parts")).alias("form"))
+    return texts.join(whole.select("tid", flat.alias("parts")).select("tid", _rebuilt(F.col("parts")).alias("form")), "tid")
+
+
+def text_forms(texts: DataFrame, **more: Column) -> DataFrame:
+    """(text, tid, form) of every distinct non-null ``text``, and the aggregates ``more`` over its rows, written once."""
+    count = [c.alias(n) for n, c in more.items()] or [F.lit(None).alias("_")]
+    own = texts.where("text is not null").groupBy("text").agg(*count).withColumn("tid", text_id(F.col("text"))).select("text", "tid", *more)
+    return written(forms(written(own, "texts")).select("text", "tid", "form", *more), "forms")
 
 
 def alike_annotations(annotations: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs of annotations of one utterance whose raw texts have one form but differ: (key_a, key_b), smaller first.
 
-    The join key is utterance and form, so runs of equal texts are not paired with each other. Null texts, ids and
-    utterance keys make no pair; redelivered rows count once.
+    Only forms written in two ways within an utterance are paired, so runs of equal texts are not paired with each
+    other. Null texts, ids and utterance keys make no pair; redelivered rows count once.
     """
     rows = annotations.where("raw_text is not null and ann_id is not null").select("dataset", "stem", "ann_id", text_id(F.col("raw_text")).alias("tid")).distinct()
     keyed = rows.join(known, "tid").select("dataset", "stem", text_id(F.col("form")).alias("fid"), "ann_id", "tid")
-    # only forms written in two ways within an utterance can pair
-    left, right = keyed.alias("a"), keyed.alias("b")
+    key = ["dataset", "stem", "fid"]
+    several = keyed.groupBy(*key).agg(F.min("tid").alias("a"), F.max("tid").alias("b")).where("a <> b").select(*key)
+    few = keyed.join(several, key, "left_semi")
+    left, right = few.alias("a"), few.alias("b")
     same = F.expr("a.dataset = b.dataset and a.stem = b.stem and a.fid = b.fid and a.ann_id < b.ann_id and a.tid <> b.tid")
     return left.join(right, same).select(F.col("a.ann_id").alias("key_a"), F.col("b.ann_id").alias("key_b")).distinct()
 
 
-def alike_tokens(words: DataFrame, lexicon: DataFrame, known: DataFrame) -> DataFrame:
-    """Intervals whose text is no lexicon token but has the form of one: (key_a, key_b) = (line_no, interval_id).
-
-    Distinct texts are compared with the lexicon first; only those found are joined back to their rows.
-    """
-    tokens = lexicon.where("token is not null").groupBy(F.col("token")).agg(F.min("line_no").cast("bigint").alias("key_a")).withColumn("tid", text_id(F.col("token")))
-    texts = words.select("text").where("text is not null").distinct().withColumn("tid", text_id(F.col("text")))
-    odd = texts.join(tokens.select("tid"), "tid", "left_anti").join(known, "tid")
-    target = tokens.join(known, "tid").select("key_a", "form")
-    hits = odd.join(target, "form").select("text", "key_a")
-    return words.where("interval_id is not null").select("text", F.col("interval_id").alias("key_b")).join(hits, "text").select("key_a", "key_b").distinct()
-
-
 def lookalikes(annotations: DataFrame, intervals: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(src, key_a, key_b) for annotations of one utterance and for words against the lexicon.
 
-    A tier named ``words`` in any letter case is used. Empty tables give no rows; extra columns are ignored.
+    ``annotation``: pairs of ``alike_annotations``. ``interval``: line_no of a lexicon token and id of an interval whose
+    text is no token but has the form of that one; distinct texts are compared first, and only those found are joined
+    back to their rows. A tier named ``words`` in any letter case is used. Empty tables give no rows; extra columns
+    are ignored.
     """
     words = intervals.where(F.lower("tier") == "words").select("interval_id", "text")
-    texts = words.select("text").distinct().unionByName(annotations.select(F.col("raw_text").alias("text"))).unionByName(lexicon.select(F.col("token").alias("text")))
-    known = written(forms(texts, "text"), "forms")  # three joins read it
-    a = alike_annotations(annotations, known).select(F.lit("annotation").alias("src"), "key_a", "key_b")
-    b = alike_tokens(words, lexicon, known).select(F.lit("interval").alias("src"), "key_a", "key_b")
+    none = F.lit(None).cast("bigint").alias("line")
+    texts = words.select("text", F.lit(True).alias("word"), none).unionByName(annotations.select(F.col("raw_text").alias("text"), F.lit(False).alias("word"), none))
+    texts = texts.unionByName(lexicon.select(F.col("token").alias("text"), F.lit(False).alias("word"), F.col("line_no").cast("bigint").alias("line")))
+    known = text_forms(texts, word=F.max("word"), token=F.count("line") > 0, line=F.min("line"))
+    a = alike_annotations(annotations, known.select("tid", "form")).select(F.lit("annotation").alias("src"), "key_a", "key_b")
+    hits = known.where("word and not token").select("text", "form").join(known.where("token").select("form", F.col("line").alias("key_a")), "form").select("text", "key_a")
+    b = words.where("interval_id is not null").join(hits, "text").select(F.lit("interval").alias("src"), "key_a", F.col("interval_id").alias("key_b")).distinct()
     return a.unionByName(b)

@@ -54,9 +54,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def p4_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consistent form of every distinct text of annotations and tiers."""
-    texts = table(spark, sf_dir, "nvv_annotations").select(F.col("raw_text").alias("text")).distinct()
-    texts = texts.unionByName(table(spark, sf_dir, "tier_interval").select("text").distinct())
-    return texts.distinct().withColumn("tid", lookalike.text_id(F.col("text"))).join(lookalike.forms(texts, "text"), "tid").select("text", "form")
+    texts = table(spark, sf_dir, "nvv_annotations").select(F.col("raw_text").alias("text")).unionByName(table(spark, sf_dir, "tier_interval").select("text"))
+    return lookalike.text_forms(texts).select("text", "form")
 
 
 @query()
