@@ -37,14 +37,16 @@ def brute(rows):
     return out
 
 
-def run(spark, rows, shard=None):
+def run(spark, rows, shard=None, cut=None):
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], KIND)
-    old = cov.SHARD
-    cov.SHARD = shard or old
+    old = cov.SHARD, cov.CUT
+    cov.SHARD, cov.CUT = shard or cov.SHARD, cut or cov.CUT
     try:
-        return {tuple(r) for r in cov.coverage(df, ["e"], "id", "a", "b").collect()}
+        made = cov.coverage(df, ["e"], "id", "a", "b").collect()
+        assert len(made) == len(set(made))
+        return {tuple(r) for r in made}
     finally:
-        cov.SHARD = old
+        cov.SHARD, cov.CUT = old
 
 
 def test_small_cases(spark):
@@ -74,6 +76,32 @@ def test_hot_entity(spark):
     assert run(spark, rows, 256) == brute(rows)
 
 
+def test_very_long_rows(spark):
+    far = 10**12
+    rows = [("a", 1, 0.0, float(far)), ("a", 2, 5.0, 6.0), ("a", 3, float(far + 1), float(far + 2)), ("b", 4, -float(far), 1.0), ("b", 5, -1e9, 2e9), ("b", 5, -1e9, 2e9), ("c", 6, 1.0, 2.0)]
+    ms = 1000
+    assert run(spark, rows) == {
+        ("a", "period", 0, far * ms), ("a", "overlap", 5000, 6000), ("a", "gap", far * ms, (far + 1) * ms), ("a", "period", (far + 1) * ms, (far + 2) * ms),
+        ("b", "period", -far * ms, 2 * 10**9 * ms), ("b", "overlap", -(10**9) * ms, 1000), ("c", "period", 1000, 2000),
+    }
+
+
+def test_a_shard_that_spans_batches(spark):
+    rows = [("hot", i % 3000, (i % 3000 * 37 % 9000) / 1000, (i % 3000 * 37 % 9000 + 1 + i % 7) / 1000) for i in range(5000)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        assert run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 30), st.integers(-20, 60), st.integers(-20, 60)), max_size=40), st.sampled_from([3, 5]))
+def test_random_with_long_rows(spark, rows, shard):
+    rows = [(e, i, x / 1000, y / 1000) for e, i, x, y in rows]
+    assert run(spark, rows, shard, 2) == brute(rows)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 30), st.integers(-20, 60), st.integers(-20, 60)), max_size=40), st.sampled_from([5, 16, 1 << 16]))
 def test_random(spark, rows, shard):
