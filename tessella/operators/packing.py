@@ -8,12 +8,13 @@ that is verified against what was read before anything is published.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.session import shared_dir, with_settings
+from tessella.session import discard, shared_dir, with_settings, written
 
 #: Members of an utterance record, as lower-case endings of the file name.
 SUFFIXES = (".textgrid", ".lab", "_tokens.jsonl", "_punct.json", "_text_cn.txt", "_text_raw.txt")
@@ -29,11 +30,12 @@ class PackingError(RuntimeError):
 class Packing:
     """Split packing: ``split_bytes`` is the most a read task takes, a file counts ``open_cost_bytes`` more than
     its size (so a split holds at most their quotient of tiny files), ``file_bytes`` is the size aimed at for
-    each file written."""
+    each file written and ``group_bytes``, before compression, that of the parts in which it can be read."""
 
     split_bytes: int = 128 << 20
     open_cost_bytes: int = 256 << 10
     file_bytes: int = 64 << 20
+    group_bytes: int = 16 << 20
 
     def session(self, spark: SparkSession) -> SparkSession:
         return with_settings(
@@ -64,22 +66,31 @@ def fingerprint(df: DataFrame, columns: list[str]) -> list[Column]:
     ]
 
 
-def stage(df: DataFrame, target: str, packing: Packing = Packing(), size_bytes: int | None = None) -> DataFrame:
+def stage(df: DataFrame, target: str, packing: Packing = Packing(), size_bytes: int | None = None, also: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Write ``df`` to ``target`` in few files without a shuffle, and verify what was written.
 
-    The fingerprint of the rows read is taken while they are written, that of the staged rows by reading them
-    back; ``PackingError`` is raised if they differ. An empty input gives an empty table with the same columns.
+    The fingerprint of the rows read is taken while they are copied, that of the staged rows by reading them back;
+    ``PackingError`` is raised if they differ, and the staging is removed. The copying takes one task for each file
+    written; what costs more, ``also`` of the staged rows, is written in the pass that verifies, which reads the files in
+    as many parts as there are cores. Returns the staged rows and those of ``also``. An empty input gives an empty table
+    with the same columns.
     """
     spark = df.sparkSession
     size = input_bytes(df) if size_bytes is None else size_bytes
     files = max(1, math.ceil(size / packing.file_bytes))
-    seen = Observation()
-    df.observe(seen, *fingerprint(df, df.columns)).coalesce(files).write.option("compression", "zstd").parquet(target)
+    seen, there = Observation(), Observation()
+    df.observe(seen, *fingerprint(df, df.columns)).coalesce(files).write.options(compression="zstd", **{"parquet.block.size": str(packing.group_bytes)}).parquet(target)
     staged = spark.read.schema(df.schema).parquet(target)
-    there = staged.agg(*fingerprint(staged, staged.columns)).first().asDict()
-    if {k: int(v) for k, v in seen.get.items()} != {k: int(v) for k, v in there.items()}:
-        raise PackingError(f"read {seen.get}, staged {there}")
-    return staged
+    read = staged.observe(there, *fingerprint(staged, staged.columns))
+    more = None
+    if also is None:
+        read.write.format("noop").mode("overwrite").save()
+    else:
+        more = written(also(read), "staged")
+    if {k: int(v) for k, v in seen.get.items()} != {k: int(v) for k, v in there.get.items()}:
+        discard(spark, target)
+        raise PackingError(f"read {seen.get}, staged {there.get}")
+    return staged, more
 
 
 def publish(spark: SparkSession, staged: str, final: str) -> None:
@@ -113,14 +124,19 @@ def plain_content(content: Column) -> Column:
     return F.rtrim(F.translate(F.replace(body, F.lit("\r\n"), F.lit("\n")), "\r", "\n"), F.lit(SPACE))
 
 
-def member_rows(files: DataFrame) -> DataFrame:
-    """Files with their record columns and ``same``, a digest equal only for files that repeat each other.
+def with_records(files: DataFrame) -> DataFrame:
+    """Files with their record columns."""
+    return files.withColumns({f"rec_{k}": v for k, v in record_columns(F.col("path")).items()})
 
-    ``same`` is null where the path names no record or the content is null: such a file repeats nothing.
+
+def digests(files: DataFrame) -> DataFrame:
+    """(file_id, same): ``same`` is a digest equal only for files that repeat each other.
+
+    It is null where the path names no record or the content is null: such a file repeats nothing.
     """
     rec = record_columns(F.col("path"))
     parts = F.concat(rec["dataset"], F.lit("/"), rec["stem"], F.lit("/"), rec["suffix"], F.lit("\n"), plain_content(F.col("content")))
-    return files.withColumns({**{f"rec_{k}": v for k, v in rec.items()}, "same": F.unhex(F.sha2(parts.cast("binary"), 256))})
+    return files.select("file_id", F.unhex(F.sha2(parts.cast("binary"), 256)).alias("same"))
 
 
 def repeats(members: DataFrame) -> DataFrame:
@@ -144,12 +160,13 @@ def consolidate(spark: SparkSession, source: str, packing: Packing = Packing(),
     """Stage a table of file contents (file_id, path, content, ...) in few files; returns (staged members, repeats).
 
     Reads combined splits, coalesces without a shuffle, writes and verifies the staging folder. Null paths and
-    contents are staged unchanged. Other columns are carried along; columns named like ours are replaced.
+    contents are staged unchanged. Other columns are carried along; columns named like ours are replaced. The repeats
+    don't need the staging any more once it is verified.
     """
     files = read_packed(spark, source, packing)
-    files = files.drop(*[c for c in files.columns if c in {"rec_dataset", "rec_stem", "rec_suffix", "same"}])
-    staged = stage(member_rows(files), target or shared_dir(spark, "packed"), packing, input_bytes(files))
-    return staged, repeats(staged)
+    files = files.drop(*[c for c in files.columns if c in {"rec_dataset", "rec_stem", "rec_suffix"}])
+    staged, same = stage(files, target or shared_dir(spark, "packed"), packing, also=digests)
+    return with_records(staged), repeats(same)
 
 
 def hold_once(staged: DataFrame, repeated: DataFrame, final: str, packing: Packing = Packing()) -> DataFrame:

@@ -48,7 +48,9 @@ files AS (
 SELECT DISTINCT first_id, file_id AS repeat_id FROM members JOIN firsts USING (d, s, x, c) WHERE file_id > first_id""")
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that repeat a record, found in the verified staging of all files."""
-    _, repeated = packing.consolidate(spark, f"{sf_dir}/ctc_file.parquet")
+    place = packing.shared_dir(spark, "packed")
+    _, repeated = packing.consolidate(spark, f"{sf_dir}/ctc_file.parquet", target=place)
+    packing.discard(spark, place)
     return repeated
 
 
@@ -56,8 +58,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT d AS dataset, x AS suffix, count(*) AS versions, count(DISTINCT s) AS records FROM kept GROUP BY 1, 2""")
 def p1_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contents of the consolidated store, every record's versions once, by data set and member."""
-    staged, repeated = packing.consolidate(spark, f"{sf_dir}/ctc_file.parquet")
+    place = packing.shared_dir(spark, "packed")
+    staged, repeated = packing.consolidate(spark, f"{sf_dir}/ctc_file.parquet", target=place)
     held = packing.hold_once(staged, repeated, packing.shared_dir(spark, "store"))
+    packing.discard(spark, place)
     return (
         held.where("rec_stem is not null")
         .groupBy(F.col("rec_dataset").alias("dataset"), F.col("rec_suffix").alias("suffix"))

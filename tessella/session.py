@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,8 +15,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders written by this process, removed when it ends.
+_WRITTEN: list[str] = []
+
+
+@atexit.register
+def _forget() -> None:
+    for path in _WRITTEN:
+        if path.startswith("file:"):
+            shutil.rmtree(path.removeprefix("file:").replace("//", "/", 1), ignore_errors=True)
+        elif spark := SparkSession.getActiveSession():
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for written intermediates, visible to every executor.
+    """A fresh folder for written intermediates, visible to every executor, and removed when this process ends.
 
     The folder lies below ``spark.checkpoint.dir``. Where that is unset, a local session gets a
     folder of its own; a cluster session is refused, since a machine-local folder would lose data.
@@ -26,7 +47,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         base = "file://" + tempfile.mkdtemp(prefix="tessella-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -80,7 +80,10 @@ def test_split_settings_stay_with_the_scan(spark, tmp_path):
 
 
 def test_folder_of_tiny_files(spark, tmp_path):
-    for i in range(30):
+    for i in range(1500):
         (tmp_path / f"f{i}.lab").write_text(f"tok{i}\n")
-    df = pk.read_packed(spark, str(tmp_path), fmt="text", wholetext="true")
-    assert df.count() == 30 and df.rdd.getNumPartitions() < 30
+    df = pk.read_packed(spark, str(tmp_path), fmt="binaryFile", pathGlobFilter="*.lab")
+    assert df.rdd.getNumPartitions() < 40
+    staged, sizes = pk.stage(df, f"file://{tmp_path}/staged", also=lambda d: d.select("length"))
+    assert len(staged.inputFiles()) == 1 and sizes.count() == 1500
+    assert {bytes(r.content).decode() for r in staged.select("content").collect()} == {f"tok{i}\n" for i in range(1500)}
