@@ -19,8 +19,12 @@ from tessella.session import written
 
 KINDS = ("prose", "list", "tabular", "junk")
 
-# Ideographs that carry grammar rather than content, and common English words.
-COMMON_IDEOGRAPHS = "的了在是我你他她它们因为所以可但而不这那个如就还也都又再没有太很里上然后一和与从对向给把被跟会能应该必须已经直总正将才刚常先真重新马慢轻快时候今昨明早晚中午天年月去前次段条么什吗呢吧啊其之着过地得到"
+# Chinese function words, as the ideographs they are written with (particles, pronouns, prepositions,
+# conjunctions, auxiliaries, negations, question words, adverbs of degree, directions), and common English words.
+COMMON_IDEOGRAPHS = (
+    "的了着过得地吗呢吧啊" "我你您他她它们咱自己" "这那哪此其每各某" "在从到向往对于把被让给跟和与同按由以为比" "而但却或且虽然因所如果若则即使便"
+    "是有会能可要想应该须必得愿" "不没未别无非" "什么谁怎几多少何" "很太更最极就才都也又还再已经曾正将刚只总常仍先后" "上下中里外前来去起之等些个"
+)
 COMMON_WORDS = (
     "a about after against all almost although an and any are as at be because been before behind beneath beside between beyond both but by can do does each every "
     "few for from had has have he her his how i if in inside into is it its just many more most much near no not nothing of off often on once one only or other "
@@ -201,7 +205,7 @@ def features(x: np.ndarray) -> np.ndarray:
     y = x.astype(float).copy()
     for i in (STATS.index("words"), STATS.index("mean_word"), STATS.index("line_length")):
         y[:, i] = np.log1p(y[:, i])
-    for s in ("symbols", "digits", "odd", "gaps"):
+    for s in ("symbols", "digits", "odd"):
         y[:, STATS.index(s)] = np.sqrt(y[:, STATS.index(s)])
     return y
 
@@ -398,7 +402,5 @@ def document_kinds(documents: DataFrame, rated: DataFrame) -> DataFrame:
 
 
 def not_prose(kinds: DataFrame) -> DataFrame:
-    """Documents of another kind than prose, less those of which every line plainly reads as sentences: too short a text
-    for its other statistics to tell."""
-    plain = (F.col("sentences") >= 0.98) & (F.col("gaps") < 0.08) & (F.col("odd") < 0.01) & (F.col("common") >= 0.22)
-    return kinds.where((F.col("kind") != "prose") & ~plain)
+    """Documents of another kind than prose."""
+    return kinds.where(F.col("kind") != "prose")
