@@ -185,7 +185,12 @@ def j1_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("interval_id", "token", F.array_join("phones", " ").alias("phones"))
 
 
-_FINALS_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in lx.FINALS.items())
+def _marked(finals: dict[str, list[str]]) -> str:
+    """Finals as SQL values, their parts in one text with a star for the tone."""
+    return ", ".join("('" + k + "', '" + " ".join(x + "*" * (i == (k in lx.TONE_ON_SECOND)) for i, x in enumerate(v)) + "')" for k, v in finals.items())
+
+
+_FINALS_VALUES = _marked(lx.FINALS)
 
 
 @query(
@@ -202,44 +207,66 @@ def _ipa_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lexicon").select("line_no", "token", lx.ipa_entry(F.col("token"), F.col("phones")).alias("phones")).where("phones is not null")
 
 
-@query()
+_IPA_VALUES = _marked(lx.FINALS_IPA)
+_INIT_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in lx.pinyin_initials().items())
+_TONE_CASE = "CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in lx.TONES.items()) + " END"
+
+
+_IPA_CTE = f"""fin(base, spec) AS (VALUES {_IPA_VALUES}), ini(py, ipa) AS (VALUES {_INIT_VALUES}),
+e AS (SELECT line_no, token, phones, len(phones) AS n, phones[1] AS a, phones[2] AS b FROM lexicon),
+x AS (SELECT *, regexp_extract(CASE n WHEN 1 THEN a WHEN 2 THEN b END, '([1-5])$', 1) AS tone, regexp_extract(CASE n WHEN 1 THEN a WHEN 2 THEN b END, '^(.+?)[1-5]$', 1) AS base FROM e),
+y AS (SELECT x.*, {_TONE_CASE.format(t='tone')} AS letters, ini.ipa, fin.spec FROM x LEFT JOIN ini ON x.n = 2 AND ini.py = x.a LEFT JOIN fin ON fin.base = x.base),
+ipalex AS (SELECT line_no, token, CASE WHEN n = 1 AND tone <> '' THEN replace(spec, '*', letters)
+  WHEN n = 2 AND ipa IS NOT NULL AND tone <> '' THEN ipa || ' ' || CASE WHEN a IN ('z', 'c', 's') AND starts_with(b, 'i0') THEN 'z̩' || letters WHEN starts_with(b, 'ir') THEN 'ʐ̩' || letters ELSE replace(spec, '*', letters) END
+  ELSE array_to_string(phones, ' ') END AS phones FROM y WHERE len(list_filter(phones, lambda p: regexp_matches(p, '^[A-Z]+[0-9]$'))) = 0 AND NOT (tone <> '' AND spec IS NULL AND (n = 1 OR n = 2 AND ipa IS NOT NULL AND NOT starts_with(b, 'ir'))))"""
+
+
+@query(f"WITH {_IPA_CTE} SELECT * FROM ipalex")
+def j5_ipa_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """The lexicon in phonetic notation."""
+    return _ipa_lexicon(spark, sf).select("line_no", "token", F.array_join("phones", " ").alias("phones"))
+
+
+_FIXED_VALUES = ", ".join(f"('{k}', '{v}', 0, 0)" for k, v in lx.IPA_INITIALS.items() if v) + ", " + ", ".join(
+    f"('{v + t}', '{p + d}', 2, {i})" for i, (v, p, t, d) in enumerate((v, p, t, d) for v, p in lx.IPA_VOWELS.items() for t, d in lx.TONE_SPELLINGS.items())
+)
+_MAP_CTE = rf"""{_IPA_CTE}, dec(dbase, dspec) AS (VALUES {_FINALS_VALUES}), known(ipa, pinyin, rank, place) AS (VALUES {_FIXED_VALUES}),
+pin AS (SELECT token, arg_max(phones, line_no) AS phones, min(line_no) AS line_no FROM lexicon WHERE token IS NOT NULL GROUP BY token),
+one AS (SELECT token, line_no, unnest(phones) AS phone, generate_subscripts(phones, 1) AS k FROM pin),
+parted AS (SELECT token, line_no, string_split(string_agg(coalesce(replace(dspec, '*', regexp_extract(phone, '([1-5])$', 1)), phone), ' ' ORDER BY k), ' ') AS parts
+  FROM one LEFT JOIN dec ON regexp_matches(phone, '[1-5]$') AND dbase = regexp_extract(phone, '^(.+?)[1-5]$', 1) GROUP BY token, line_no),
+heard AS (SELECT token, string_split(arg_max(phones, line_no), ' ') AS phones FROM ipalex WHERE token IS NOT NULL GROUP BY token),
+crossed AS (SELECT unnest(heard.phones) AS ipa, unnest(parts) AS pinyin, 1 AS rank, line_no * 1000 + generate_subscripts(parts, 1) - 1 AS place FROM parted JOIN heard USING (token) WHERE len(parts) = len(heard.phones)),
+ipamap AS (SELECT ipa, arg_min(pinyin, (rank, place)) AS pinyin FROM (SELECT * FROM known UNION ALL SELECT * FROM crossed) GROUP BY ipa)"""
+
+
+@query(f"WITH {_MAP_CTE} SELECT ipa, pinyin FROM ipamap")
 def j3_ipa_map(spark: SparkSession, sf: str) -> DataFrame:
     """Phonetic phones and their pinyin."""
     return lx.ipa_to_pinyin(table(spark, sf, "lexicon"), _ipa_lexicon(spark, sf))
 
 
-@query()
+@query(
+    f"""WITH {_MAP_CTE}, ph AS (SELECT DISTINCT interval_id, dataset, stem, ord, xmin, xmax, text, {_PHONE_STRIP} AS t FROM tier_interval WHERE lower(tier) = 'pinyin_phones')
+SELECT interval_id, CASE WHEN {q.silence('text')} THEN {q.grade('xmax - xmin')} ELSE coalesce(pinyin, t) END AS text FROM ph LEFT JOIN ipamap ON ipa = t"""
+)
 def c2_mapped_phones(spark: SparkSession, sf: str) -> DataFrame:
     """Phones one to one by the map."""
     return lx.mapped_phones(tiers(spark, sf, "pinyin_phones", bounded=False), j3_ipa_map(spark, sf)).select("interval_id", "text")
 
 
-@query()
+@query(
+    f"""WITH {_MAP_CTE}, t AS (SELECT *, regexp_extract(ipa, '[{tk.TONE_LETTERS}]+') AS letters, regexp_extract(pinyin, '[1-5]$') AS digit FROM ipamap)
+SELECT 'consonants' AS section, ipa AS key, pinyin AS value FROM t WHERE letters = ''
+UNION ALL SELECT 'vowel_with_tones', regexp_replace(ipa, '[{tk.TONE_LETTERS}]+', '', 'g') || ' -> ' || pinyin, min(ipa) FROM t WHERE letters <> '' GROUP BY 2
+UNION ALL SELECT 'tone_marks', letters, max(CASE WHEN digit = '' THEN '?' ELSE digit END) FROM t WHERE letters <> '' GROUP BY 2"""
+)
 def j4_tone_reference(spark: SparkSession, sf: str) -> DataFrame:
     """The map regrouped by consonants, toned vowels and tone letters."""
     return lx.tone_reference(j3_ipa_map(spark, sf))
 
 
-_IPA_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in lx.FINALS_IPA.items())
-_INIT_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in lx.pinyin_initials().items())
-_TONE_CASE = "CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in lx.TONES.items()) + " END"
-
-
-@query(
-    f"""WITH fin(base, spec) AS (VALUES {_IPA_VALUES}), ini(py, ipa) AS (VALUES {_INIT_VALUES}),
-e AS (SELECT line_no, token, phones, len(phones) AS n, phones[1] AS a, phones[2] AS b FROM lexicon),
-x AS (SELECT *, regexp_extract(CASE n WHEN 1 THEN a WHEN 2 THEN b END, '([1-5])$', 1) AS tone, regexp_extract(CASE n WHEN 1 THEN a WHEN 2 THEN b END, '^(.+?)[1-5]$', 1) AS base FROM e),
-y AS (SELECT x.*, {_TONE_CASE.format(t='tone')} AS letters, ini.ipa, fin.spec FROM x LEFT JOIN ini ON x.n = 2 AND ini.py = x.a LEFT JOIN fin ON fin.base = x.base)
-SELECT line_no, token, CASE WHEN n = 1 AND tone <> '' THEN replace(spec, '*', letters)
-  WHEN n = 2 AND ipa IS NOT NULL AND tone <> '' THEN ipa || ' ' || CASE WHEN a IN ('z', 'c', 's') AND starts_with(b, 'i0') THEN 'z̩' || letters WHEN starts_with(b, 'ir') THEN 'ʐ̩' || letters ELSE replace(spec, '*', letters) END
-  ELSE array_to_string(phones, ' ') END AS phones FROM y WHERE len(list_filter(phones, lambda p: regexp_matches(p, '^[A-Z]+[0-9]$'))) = 0 AND NOT (tone <> '' AND spec IS NULL AND (n = 1 OR n = 2 AND ipa IS NOT NULL AND NOT starts_with(b, 'ir')))"""
-)
-def j5_ipa_lexicon(spark: SparkSession, sf: str) -> DataFrame:
-    """The lexicon in phonetic notation."""
-    return _ipa_lexicon(spark, sf).select("line_no", "token", F.array_join("phones", " ").alias("phones"))
-
-
-_AR_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in lx.english_of_ipa().items())
+_AR_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in lx.ENGLISH_OF_IPA.items())
 
 
 @query(

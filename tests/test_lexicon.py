@@ -18,7 +18,7 @@ def test_decomposed_column(spark):
 
 def test_parts_stand_one_to_one():
     same = set(lx.FINALS) & set(lx.FINALS_IPA)
-    assert all(len(lx.FINALS[k].split()) == len(lx.FINALS_IPA[k].split()) for k in same)
+    assert all(len(lx.FINALS[k]) == len(lx.FINALS_IPA[k]) for k in same)
 
 
 def entries(spark, rows):
