@@ -151,6 +151,10 @@ def i18_valid_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _PHONE_STRIP = q.strip("text")
+_MANDARIN = (
+    f"({_PHONE_STRIP} IN ({q.names(tk.PINYIN_INITIALS)}) OR regexp_matches({_PHONE_STRIP}, '[1-5]$') OR regexp_matches({_PHONE_STRIP}, '[{tk.TONE_LETTERS}]') "
+    f"OR regexp_matches({_PHONE_STRIP}, '^[a-z{tk.MANDARIN_LETTERS}]*[{tk.MANDARIN_LETTERS}][a-z{tk.MANDARIN_LETTERS}]*$'))"
+)
 _EN_PHONES = q.names((*tk.ENGLISH_VOWELS, *tk.ENGLISH_CONSONANTS, *tk.PHONE_SILENCE))
 _VOWEL = f"(lower({_PHONE_STRIP}) NOT IN ({q.names(tk.INITIALS)}) AND regexp_matches(lower({_PHONE_STRIP}), '[1-5]$|[{tk.TONE_LETTERS}]'))"
 
@@ -158,7 +162,7 @@ _VOWEL = f"(lower({_PHONE_STRIP}) NOT IN ({q.names(tk.INITIALS)}) AND regexp_mat
 @query(
     f"WITH {q.IV} SELECT text, {_VOWEL} AS vowel, (lower({_PHONE_STRIP}) IN ({q.names(tk.INITIALS)}) OR ({_PHONE_STRIP} <> '' AND NOT {_VOWEL})) AS consonant, "
     f"({_PHONE_STRIP} <> '' AND {_PHONE_STRIP} NOT IN ({q.names(tk.PHONE_SILENCE)}) AND NOT starts_with({_PHONE_STRIP}, 'en:') AND regexp_replace({_PHONE_STRIP}, '[012]+$', '') NOT IN ({_EN_PHONES}) "
-    f"AND regexp_matches({_PHONE_STRIP}, '{tk.CHINESE_PHONE}')) AS mandarin, count(*) AS n FROM iv WHERE tier = 'pinyin_phones' AND text IS NOT NULL GROUP BY ALL"
+    f"AND {_MANDARIN}) AS mandarin, count(*) AS n FROM iv WHERE tier = 'pinyin_phones' AND text IS NOT NULL GROUP BY ALL"
 )
 def i19_phone_classes(spark: SparkSession, sf: str) -> DataFrame:
     """Phones by class."""
