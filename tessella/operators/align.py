@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,52 +15,77 @@ from tessella.functions.tokens import ENGLISH_VOWELS, py_grade, py_pinyin, py_pu
 Match = Callable[[str, str], bool]
 
 
-def cost_table(a: Sequence[str], b: Sequence[str], match: Match) -> np.ndarray:
-    """Least edit costs of all prefixes, each row by one running minimum."""
-    n, m = len(a), len(b)
-    table = np.empty((n + 1, m + 1), np.int32)
-    table[0] = np.arange(m + 1)
-    steps = np.arange(m + 1)
-    for i in range(1, n + 1):
-        same = np.fromiter((match(a[i - 1], y) for y in b), bool, m)
-        row = np.empty(m + 1, np.int32)
-        row[0] = i
-        row[1:] = np.minimum(table[i - 1, 1:] + 1, table[i - 1, :-1] + ~same)
-        table[i] = np.minimum.accumulate(row - steps) + steps
-    return table
+#: Codes of the steps that lead to a prefix at least cost.
+PAIR, SKIP_A, SKIP_B = 0, 1, 2
+
+
+def _numbered(items: Sequence[str]) -> tuple[list[str], np.ndarray]:
+    """Distinct items, and each item as the number of its own."""
+    numbers: dict[str, int] = {}
+    places = np.array([numbers.setdefault(x, len(numbers)) for x in items], np.int64)
+    return list(numbers), places
+
+
+def matches(a: Sequence[str], b: Sequence[str], match: Match) -> Callable[[int], np.ndarray]:
+    """Gives for a place in ``a`` which places of ``b`` match; distinct pairs are compared once."""
+    (left, of_a), (right, of_b) = _numbered(a), _numbered(b)
+    known: dict[int, np.ndarray] = {}
+
+    def row(i: int) -> np.ndarray:
+        k = int(of_a[i])
+        if k not in known:
+            known[k] = np.fromiter((match(left[k], y) for y in right), bool, len(right))
+        return known[k][of_b]
+
+    return row
+
+
+def steps(n: int, m: int, same: Callable[[int], np.ndarray], order: tuple[int, int, int]) -> Iterator[int]:
+    """Steps of the global alignment at unit costs, from the end back; of several the one that is first in ``order``.
+
+    Costs are kept for one row. Of each cell two bits stay, whether the first and the second step of the order lead
+    there, so that two sequences of ten thousand take 25 MB.
+    """
+    bits = [np.empty((n + 1, (m + 8) // 8), np.uint8) for _ in order[:2]]
+    cost, ramp = np.arange(m + 1), np.arange(m + 1)
+    for i in range(n + 1):
+        new = np.full(m + 1, n + m + 1)
+        leads = np.zeros((3, m + 1), bool)
+        if i:
+            pair, skip = cost[:-1] + ~same(i - 1), cost + 1
+            new[1:] = pair
+            new = np.minimum(new, skip)
+            new = np.minimum.accumulate(new - ramp) + ramp
+            leads[PAIR, 1:], leads[SKIP_A] = new[1:] == pair, new == skip
+        else:
+            new = ramp.copy()
+        leads[SKIP_B, 1:] = new[1:] == new[:-1] + 1
+        for kept, step in zip(bits, order[:2], strict=True):
+            kept[i] = np.packbits(leads[step])
+        cost = new
+    i, j = n, m
+    while i or j:
+        step = next((s for kept, s in zip(bits, order[:2], strict=True) if kept[i, j >> 3] >> (7 - (j & 7)) & 1), order[2])
+        yield step
+        i, j = i - (step != SKIP_B), j - (step != SKIP_A)
 
 
 def equal_pairs(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
     """Global alignment by equality; the pairs that are equal. On ties the diagonal is preferred, then a gap in ``b``."""
-    table = cost_table(a, b, str.__eq__)
     i, j, out = len(a), len(b), []
-    while i and j:
-        same = a[i - 1] == b[j - 1]
-        if table[i, j] == table[i - 1, j - 1] + (not same):
-            i, j = i - 1, j - 1
-            if same:
-                out.append((i, j))
-        elif table[i, j] == table[i - 1, j] + 1:
-            i -= 1
-        else:
-            j -= 1
+    for step in steps(i, j, matches(a, b, str.__eq__), (PAIR, SKIP_A, SKIP_B)):
+        i, j = i - (step != SKIP_B), j - (step != SKIP_A)
+        if step == PAIR and a[i] == b[j]:
+            out.append((i, j))
     return out[::-1]
 
 
 def fuzzy_pairs(a: Sequence[str], b: Sequence[str], match: Match) -> list[tuple[int | None, int | None]]:
     """Global alignment by ``match`` with all gaps; on ties a gap in ``b`` is preferred, then one in ``a``."""
-    table = cost_table(a, b, match)
     i, j, out = len(a), len(b), []
-    while i or j:
-        if i and table[i, j] == table[i - 1, j] + 1:
-            i -= 1
-            out.append((i, None))
-        elif j and table[i, j] == table[i, j - 1] + 1:
-            j -= 1
-            out.append((None, j))
-        else:
-            i, j = i - 1, j - 1
-            out.append((i, j))
+    for step in steps(i, j, matches(a, b, match), (SKIP_A, SKIP_B, PAIR)):
+        i, j = i - (step != SKIP_B), j - (step != SKIP_A)
+        out.append((i if step != SKIP_B else None, j if step != SKIP_A else None))
     return out[::-1]
 
 
