@@ -117,12 +117,19 @@ def missing_multiset(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return a.join(b, [*UTT, "token"], "left").withColumn("found", F.coalesce("found", F.lit(0))).where("wanted > found")
 
 
-def reasons(rows: DataFrame) -> DataFrame:
-    """All filtering reasons, one row each: (dataset, stem, rank, reason)."""
+def reasons(rows: DataFrame, recordings: DataFrame | None = None, quiet_ratio: float = 0.0) -> DataFrame:
+    """All filtering reasons, one row each: (dataset, stem, rank, reason). With ``recordings`` also those that need audio: loud
+    background, and words in silence where ``quiet_ratio`` is above 0."""
     parts = [
         (pinyin_in_text(rows), "pinyin_in_text"), (incomplete_tiers(rows), "incomplete_tiers"), (tier_desync(rows), "tier_desync"), (misaligned_phones(rows), "misaligned_phones"),
         (long_silences(rows), "sp3"), (middle_silences(rows), "mid_sp"), (iv.unexpected_silences(rows.where("tier = 'words'")), "unexpected_silence"),
     ]
+    if recordings is not None:
+        from tessella.operators import audio
+
+        parts.append((audio.background_suspects(recordings), "bgm_suspect"))
+        if quiet_ratio > 0:
+            parts.append((audio.quiet_words(recordings, quiet_ratio).select(*UTT).distinct(), "word_in_silence"))
     out = None
     for rank, (df, reason) in enumerate(parts):
         one = df.select(*UTT, F.lit(rank).alias("rank"), F.lit(reason).alias("reason"))

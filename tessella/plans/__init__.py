@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("interval_queries", "text_queries", "record_queries", "kernel_queries", "batch_queries")
+MODULES = ("interval_queries", "text_queries", "audio_queries", "record_queries", "kernel_queries", "batch_queries")
 
 
 def register() -> None:

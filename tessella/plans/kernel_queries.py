@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.lexicon import last_entries
-from tessella.operators import adjust, align, fusion, signal
-from tessella.plans import sqltext as q
-from tessella.plans.interval_queries import UTT, ended_rows, tiers, utterances
+from tessella.operators import adjust, align, audio, fusion, signal
+from tessella.plans.interval_queries import UTT, ended_rows, tiers
 from tessella.queries import query
 from tessella.session import table
+from tessella.sources import voices
 
 MAX_LEXICON = 1_000_000
 
@@ -106,6 +106,13 @@ def g8_fused(spark: SparkSession, sf: str) -> DataFrame:
     return fusion.fused(assembled(spark, sf), sent_lexicon(spark, sf))
 
 
+@query()
+def g8_heard(spark: SparkSession, sf: str) -> DataFrame:
+    """All phases of the fusion with the recordings voiced from the words."""
+    sound = voices.voiced(audio.nested_words(tiers(spark, sf, "words"))).select(*UTT, "samples", "sample_rate")
+    return fusion.fused(assembled(spark, sf).join(sound, UTT, "left"), sent_lexicon(spark, sf))
+
+
 @query()
 def g2_snapped(spark: SparkSession, sf: str) -> DataFrame:
     """Words snapped to their tokens."""
@@ -153,7 +160,7 @@ def e6_adjust_totals(spark: SparkSession, sf: str) -> DataFrame:
     return each.agg(*[F.sum(c).alias(c) for c in each.columns], F.count(F.lit(1)).alias("utterances"))
 
 
-# H: framed signals, the events' values standing for samples
+# H: signals as tables of samples; the events' values stand for samples
 
 _DAY = "CAST(floor(epoch_us(ts) / 86400000000) AS BIGINT)"
 _FRAMES = f"fr AS (SELECT user_id, {_DAY} AS frame, CAST(sqrt(avg(value * value) + 1e-12) AS FLOAT) AS rms FROM events WHERE value IS NOT NULL GROUP BY 1, 2)"
@@ -166,7 +173,7 @@ def _frames(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"WITH {_FRAMES} SELECT user_id, frame, rms FROM fr")
-def h1_framed_rms(spark: SparkSession, sf: str) -> DataFrame:
+def h1_event_frames(spark: SparkSession, sf: str) -> DataFrame:
     """Daily energy of each user's events."""
     return _frames(spark, sf)
 
@@ -175,7 +182,7 @@ def h1_framed_rms(spark: SparkSession, sf: str) -> DataFrame:
     f"WITH {_FRAMES}, r AS (SELECT user_id, rms, count(*) OVER (PARTITION BY user_id) AS n, row_number() OVER (PARTITION BY user_id ORDER BY rms) - 1 AS i FROM fr) "
     "SELECT user_id, n, rms AS floor FROM r WHERE i = least(greatest(1, CAST(floor(n * 0.15) AS BIGINT)), n - 1)"
 )
-def h3_noise_floor(spark: SparkSession, sf: str) -> DataFrame:
+def h3_event_floor(spark: SparkSession, sf: str) -> DataFrame:
     """Noise floor of each user's daily energy."""
     return signal.floor_table(_frames(spark, sf), ["user_id"], "rms", 0.15)
 
@@ -184,34 +191,6 @@ def h3_noise_floor(spark: SparkSession, sf: str) -> DataFrame:
     f"WITH {_FRAMES}, f AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY frame) AS i FROM fr), a AS (SELECT *, i - row_number() OVER (PARTITION BY user_id ORDER BY frame) AS g FROM f WHERE rms >= 40), "
     "s AS (SELECT user_id, g, count(*) AS n, min(frame) AS onset FROM a GROUP BY 1, 2) SELECT user_id, min(onset) AS onset FROM s WHERE n >= 3 GROUP BY 1"
 )
-def h4_onset(spark: SparkSession, sf: str) -> DataFrame:
+def h4_event_onset(spark: SparkSession, sf: str) -> DataFrame:
     """First of three loud days in a row."""
     return signal.onset_table(_frames(spark, sf), ["user_id"], "frame", "rms", 40.0, 3)
-
-
-@query("SELECT user_id, event_type, avg(abs(value)) AS energy, coalesce(avg(CASE WHEN abs(value) > 1e-12 THEN abs(value) END), 0) AS nonzero FROM events GROUP BY 1, 2")
-def h5_energy(spark: SparkSession, sf: str) -> DataFrame:
-    """Mean absolute value of each user's events by type, and without zeros."""
-    v = F.abs("value")
-    return table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.avg(v).alias("energy"), F.coalesce(F.avg(F.when(v > 1e-12, v)), F.lit(0.0)).alias("nonzero"))
-
-
-@query("SELECT sample_rate, CASE WHEN sample_rate = 16000 THEN 'link' WHEN sample_rate IS NULL THEN 'unknown' ELSE 'resample' END AS action, count(*) AS n FROM (SELECT DISTINCT dataset, stem, sample_rate FROM utterance) GROUP BY 1, 2")
-def h14_resample_plan(spark: SparkSession, sf: str) -> DataFrame:
-    """What is to be done to the utterances' audio."""
-    rate = F.col("sample_rate")
-    action = F.when(rate == 16000, "link").when(rate.isNull(), "unknown").otherwise("resample")
-    return table(spark, sf, "utterance").select(*UTT, "sample_rate").distinct().groupBy("sample_rate", action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(
-    f"""WITH {q.IV}, {q.UTT}, w AS (SELECT iv.dataset, iv.stem, {q.grade('iv.xmax - iv.xmin')} AS g, iv.xmax - iv.xmin AS d FROM iv WHERE tier = 'words' AND {q.silence('text')} AND iv.xmax - iv.xmin >= 0.3)
-SELECT w.dataset, w.stem, count(*) AS silences, sum(d) AS seconds, sum(d) / any_value(u.xmax) AS share FROM w JOIN utt u USING (dataset, stem) GROUP BY 1, 2"""
-)
-def k8_checked_silence(spark: SparkSession, sf: str) -> DataFrame:
-    """Silences of 0.3 s or more, those whose energy the background rule judges, and their share of the utterance."""
-    from tessella.functions.tokens import is_silence
-
-    rows = tiers(spark, sf, "words").where(is_silence(F.col("text")) & (F.col("xmax") - F.col("xmin") >= 0.3)).withColumn("d", F.col("xmax") - F.col("xmin"))
-    sums = rows.groupBy(*UTT).agg(F.count(F.lit(1)).alias("silences"), F.sum("d").alias("seconds"))
-    return sums.join(utterances(spark, sf), UTT).select(*UTT, "silences", "seconds", (F.col("seconds") / F.col("xmax")).alias("share"))

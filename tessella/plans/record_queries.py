@@ -9,6 +9,7 @@ from tessella.functions import tokens as tk
 from tessella.operators import intervals as iv
 from tessella.operators import qc
 from tessella.plans import sqltext as q
+from tessella.plans.audio_queries import heard
 from tessella.plans.interval_queries import UTT, tiers, token_rows
 from tessella.plans.text_queries import RAW, files, raw_texts
 from tessella.queries import SQL, query
@@ -251,12 +252,12 @@ def k12_ideograph_mismatch(spark: SparkSession, sf: str) -> DataFrame:
 
 def _statuses(spark: SparkSession, sf: str) -> DataFrame:
     rows = tiers(spark, sf)
-    return qc.routed(rows, qc.reasons(rows))
+    return qc.routed(rows, qc.reasons(rows, heard(spark, sf)))
 
 
 def _reasons_sql() -> str:
-    parts = ("k1_pinyin_in_text", "k2_incomplete_tiers", "k3_tier_desync", "k4_misaligned_phones", "k5_long_silences", "k6_middle_silences", "d3_unexpected_silences")
-    said = ("pinyin_in_text", "incomplete_tiers", "tier_desync", "misaligned_phones", "sp3", "mid_sp", "unexpected_silence")
+    parts = ("k1_pinyin_in_text", "k2_incomplete_tiers", "k3_tier_desync", "k4_misaligned_phones", "k5_long_silences", "k6_middle_silences", "d3_unexpected_silences", "k8_background_suspects")
+    said = ("pinyin_in_text", "incomplete_tiers", "tier_desync", "misaligned_phones", "sp3", "mid_sp", "unexpected_silence", "bgm_suspect")
     return " UNION ALL ".join(f"SELECT dataset, stem, {i} AS rank, '{r}' AS reason FROM ({SQL[p]})" for i, (p, r) in enumerate(zip(parts, said, strict=True)))
 
 

@@ -49,3 +49,29 @@ PUN = "pun AS (SELECT DISTINCT punct_id AS interval_id, dataset, stem, start_s A
 UTT = "utt AS (SELECT dataset, stem, max(xmax) AS xmax FROM utterance GROUP BY 1, 2)"
 W = "PARTITION BY dataset, stem ORDER BY xmin, xmax, interval_id"
 WT = "PARTITION BY dataset, stem, tier ORDER BY xmin, xmax, interval_id"
+#: Recordings made up from the words tier: ``wv`` the words with their samples, ``len`` samples of each utterance, ``cov`` the size of
+#: each sample that isn't 0.
+VOICED = f"""wv AS (SELECT interval_id, dataset, stem, xmin, xmax, text, {silence('text')} AS sil, greatest(0, CAST(trunc(xmin * 1000) AS BIGINT)) AS a, greatest(0, CAST(trunc(xmax * 1000) AS BIGINT)) AS b,
+  CASE WHEN {silence('text')} THEN CASE WHEN interval_id % 5 = 0 THEN 0.03125 ELSE 0.00048828125 END WHEN interval_id % 4 = 0 THEN 0.125 ELSE 0.001953125 END AS amp
+  FROM iv WHERE tier = 'words' AND xmax > xmin AND text IS NOT NULL),
+len AS (SELECT dataset, stem, max(b) AS n FROM wv GROUP BY 1, 2),
+cov AS (SELECT dataset, stem, k, max(CAST(amp AS DOUBLE)) AS v FROM (SELECT dataset, stem, amp, unnest(range(a, b)) AS k FROM wv) GROUP BY 1, 2, 3)"""
+
+
+def frames(name: str, size: int) -> str:
+    """Frames of so many samples: energy ``rms`` and greatest ``top``; also those in which all samples are 0."""
+    return f"""{name}_e AS (SELECT dataset, stem, k // {size} AS frame, sum(v * v) AS e, max(v) AS top FROM cov GROUP BY 1, 2, 3),
+{name}_n AS (SELECT dataset, stem, unnest(range(0, n // {size})) AS frame FROM len),
+{name} AS (SELECT dataset, stem, frame, CAST(sqrt(coalesce(e, 0) / {size} + 1e-12) AS FLOAT) AS rms, coalesce(e, 0) AS e, coalesce(top, 0) AS top FROM {name}_n LEFT JOIN {name}_e USING (dataset, stem, frame))"""
+
+
+def floors(name: str, frame: str, share: float) -> str:
+    """Noise floor of each utterance's frames."""
+    return f"""{name}_r AS (SELECT dataset, stem, rms, count(*) OVER w AS n, row_number() OVER (PARTITION BY dataset, stem ORDER BY rms) - 1 AS i FROM {frame} WINDOW w AS (PARTITION BY dataset, stem)),
+{name}_f AS (SELECT dataset, stem, n, rms FROM {name}_r WHERE i = least(greatest(1, CAST(floor(n * {share}) AS BIGINT)), n - 1)),
+{name} AS (SELECT dataset, stem, coalesce(f.n, 0) AS frames, coalesce(f.rms, 0) AS floor FROM len LEFT JOIN {name}_f f USING (dataset, stem))"""
+
+
+#: Energy of each word.
+ENERGY = """en AS (SELECT interval_id, CAST(coalesce(sum(v) / any_value(m), 0) AS FLOAT) AS energy FROM (SELECT interval_id, dataset, stem, b - a AS m, unnest(range(a, b)) AS k FROM wv) JOIN cov USING (dataset, stem, k) GROUP BY 1),
+we AS (SELECT wv.*, CAST(coalesce(energy, 0) AS DOUBLE) AS energy FROM wv LEFT JOIN en USING (interval_id))"""
