@@ -88,7 +88,12 @@ def b6_canonical_case(spark: SparkSession, sf: str) -> DataFrame:
     return iv.canonical_case(rows, table(spark, sf, "lexicon")).where("text <> was").select("interval_id", "was", "text")
 
 
-@query()
+@query(
+    f"""WITH {q.IV}, m AS (SELECT interval_id, dataset, stem, tier, xmin, xmax, array_to_string(list_transform(regexp_extract_all(text, '[A-Z-]+|[^A-Z-]+'), lambda x: CASE WHEN x IN ({q.names(tk.VOCALISATIONS)}) THEN '<' || x || '>' ELSE x END), '') AS text
+  FROM iv WHERE tier IN ({q.names(iv.TIER_ORDER)})), o AS (SELECT *, row_number() OVER w AS place, regexp_matches(text, '^<sp[0-9]>') AS graded, sum(CASE WHEN regexp_matches(text, '^<sp[0-9]>') THEN 1 ELSE 0 END) OVER w AS seen FROM m WINDOW w AS ({q.WT}))
+SELECT interval_id, tier, CASE WHEN tier = 'raw_text' AND place = 1 AND {q.strip('text')} <> '' AND NOT starts_with(text, '<sp') THEN '<sp1>' || text
+  WHEN tier <> 'raw_text' AND graded AND seen = 1 THEN regexp_replace(text, '^<sp[0-9]>', '<sp1>') ELSE text END AS text FROM o"""
+)
 def b7_finalise(spark: SparkSession, sf: str) -> DataFrame:
     """All tiers with the last normalisation of labels."""
     return iv.finalised(tiers(spark, sf, *iv.TIER_ORDER)).select("interval_id", "tier", "text")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import tokens as tk
@@ -26,26 +26,43 @@ mem AS (SELECT regexp_extract(p, '{_SHAPE}', 1) AS dataset, regexp_extract(p, '{
 AUD = r"aud AS (SELECT DISTINCT dataset, regexp_extract(audio, '([^/\\]+)\.wav$', 1) AS stem FROM nvv_annotations WHERE audio IS NOT NULL)"
 
 
-@query()
+_LINES = r'intervals \[\d+\]:?\s*xmin = ([-+0-9.eE]+)\s*xmax = ([-+0-9.eE]+)\s*text = "((?:[^"]|"")*)"'
+GRID = rf"""{MEM}, grids AS (SELECT dataset, stem, file_id, string_split_regex(content, 'item \[\d+\]:')[2:] AS items FROM mem WHERE suffix = '.textgrid'),
+item AS (SELECT dataset, stem, file_id, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS tier_ord FROM grids),
+cut AS (SELECT * EXCLUDE (item), regexp_extract(item, 'name = "((?:[^"]|"")*)"', 1) AS tier, regexp_extract_all(item, '{_LINES}', 1) AS a, regexp_extract_all(item, '{_LINES}', 2) AS b, regexp_extract_all(item, '{_LINES}', 3) AS t,
+  len(regexp_extract_all(item, 'intervals \[\d+\]')) AS said FROM item),
+bad AS (SELECT file_id FROM grids WHERE len(items) = 0 UNION SELECT file_id FROM cut WHERE len(a) <> said),
+scan AS (SELECT dataset, stem, file_id, tier_ord, tier, unnest(range(0, len(a))) AS ord, CAST(unnest(a) AS DOUBLE) AS xmin, CAST(unnest(b) AS DOUBLE) AS xmax, replace(unnest(t), '""', '"') AS text
+  FROM cut WHERE file_id NOT IN (SELECT file_id FROM bad))"""
+
+
+@query(f"WITH {GRID} SELECT dataset, stem, file_id, CAST(tier_ord AS INTEGER) AS tier_ord, tier, CAST(ord AS INTEGER) AS ord, xmin, xmax, text FROM scan")
 def a1_textgrid_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Intervals of all TextGrids in the store."""
     grids = files(spark, sf).where("suffix = '.textgrid'")
     return tg.interval_rows(grids, ["dataset", "stem", "file_id"])
 
 
-@query()
+@query(f"WITH {GRID} SELECT dataset, stem, file_id, 'no tiers, or an interval without bounds' AS error FROM grids WHERE file_id IN (SELECT file_id FROM bad)")
 def a1_unreadable(spark: SparkSession, sf: str) -> DataFrame:
     """TextGrids that can't be read."""
     return tg.unreadable(files(spark, sf).where("suffix = '.textgrid'"), ["dataset", "stem", "file_id"])
 
 
-@query()
-def a2_flat_words(spark: SparkSession, sf: str) -> DataFrame:
-    """Intervals of the words tiers of all TextGrids, without tier."""
-    return a1_textgrid_scan(spark, sf).where("lower(tier) = 'words'").select("file_id", "ord", "xmin", "xmax", "text")
+@query(f"WITH {GRID} SELECT file_id, CAST(row_number() OVER (PARTITION BY file_id ORDER BY tier_ord, ord) - 1 AS INTEGER) AS ord, xmin, xmax, text FROM scan")
+def a2_flat_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """Intervals of all tiers of each TextGrid in one list, without tier."""
+    place = F.row_number().over(Window.partitionBy("file_id").orderBy("tier_ord", "ord")) - 1
+    return a1_textgrid_scan(spark, sf).select("file_id", place.alias("ord"), "xmin", "xmax", "text")
 
 
-@query()
+@query(
+    f"""WITH {GRID}, ranked AS (SELECT *, dense_rank() OVER (PARTITION BY file_id ORDER BY tier_ord) AS k FROM scan),
+w AS (SELECT * FROM ranked WHERE k = 1 AND NOT {q.silence('text')}), p AS (SELECT * FROM ranked WHERE k = 2 AND NOT {q.silence('text')}),
+m AS (SELECT w.file_id, w.ord, row_number() OVER (PARTITION BY p.file_id, p.ord ORDER BY w.xmin, w.ord) AS r FROM w JOIN p USING (file_id) WHERE p.xmin < w.xmax - 0.001 AND p.xmax > w.xmin + 0.001),
+n AS (SELECT file_id, ord, count(*) AS n FROM m WHERE r = 1 GROUP BY 1, 2)
+SELECT file_id, CAST(ord AS INTEGER) AS ord, text AS word, CAST(coalesce(n, 0) AS INTEGER) AS phones FROM w LEFT JOIN n USING (file_id, ord)"""
+)
 def a3_words_with_phones(spark: SparkSession, sf: str) -> DataFrame:
     """Words of all TextGrids with what stands under them in the next tier."""
     out = tg.words_with_phones(a1_textgrid_scan(spark, sf), ["file_id"])
@@ -144,14 +161,29 @@ def a13_lexicon_scan(spark: SparkSession, sf: str) -> DataFrame:
     return last_entries(six.lexicon_lines(lines)).select("token", F.array_join("phones", " ").alias("phones"))
 
 
-@query()
+def _seconds(c: str) -> str:
+    return f"rtrim(rtrim(CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38, 20)), 6) AS DECIMAL(38, 6))::VARCHAR, '0'), '.')"
+
+
+_WRITTEN = f"""{q.IV}, o AS (SELECT *, list_position(['raw_text', 'pinyin', 'hanzi', 'words', 'pinyin_phones'], tier) AS k, row_number() OVER (PARTITION BY dataset, stem, tier ORDER BY xmin, xmax, interval_id) AS i
+  FROM iv WHERE tier IN ('raw_text', 'pinyin', 'hanzi', 'words', 'pinyin_phones'))"""
+
+
+@query(
+    rf"""WITH {_WRITTEN}, t AS (SELECT dataset, stem, tier, k, min(xmin) AS t0, max(xmax) AS t1, count(*) AS n,
+  string_agg('        intervals [' || i || E']:\n            xmin = ' || {_seconds('xmin')} || E'\n            xmax = ' || {_seconds('xmax')} || E'\n            text = "' || replace(coalesce(text, ''), '"', '""') || E'"\n', '' ORDER BY i) AS rows FROM o GROUP BY 1, 2, 3, 4),
+u AS (SELECT *, row_number() OVER (PARTITION BY dataset, stem ORDER BY k) AS j FROM t)
+SELECT dataset, stem, E'File type = "ooTextFile"\nObject class = "TextGrid"\n\nxmin = ' || {_seconds('min(t0)')} || E'\nxmax = ' || {_seconds('max(t1)')} || E'\ntiers? <exists>\nsize = ' || count(*) || E'\nitem []:\n' ||
+  string_agg('    item [' || j || E']:\n        class = "IntervalTier"\n        name = "' || tier || E'"\n        xmin = ' || {_seconds('t0')} || E'\n        xmax = ' || {_seconds('t1')} || E'\n        intervals: size = ' || n || E'\n' || rows, '' ORDER BY j) AS content
+FROM u GROUP BY 1, 2"""
+)
 def a14_rendered(spark: SparkSession, sf: str) -> DataFrame:
     """Every utterance's tiers as the text of a TextGrid."""
     rows = iv.ordered_tiers(tiers(spark, sf)).withColumn("ord", F.row_number().over(iv.by_time(*UTT, "tier")) - 1)
     return tg.rendered(rows, UTT)
 
 
-@query()
+@query(f"WITH {_WRITTEN} SELECT dataset, stem, tier, count(*) AS n, round(sum(round(xmax, 6) - round(xmin, 6)), 3) AS seconds FROM o GROUP BY 1, 2, 3")
 def a14_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Intervals of the rendered TextGrids, read again: as many and as long as those written."""
     again = tg.interval_rows(a14_rendered(spark, sf), UTT)

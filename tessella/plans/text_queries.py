@@ -72,7 +72,10 @@ def i5_name_fragments(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("interval_id", tx.name_fragments_joined(F.col("text")).alias("text"))
 
 
-@query()
+@query(
+    rf"""WITH {RAW}, p AS (SELECT ann_id, list_transform(regexp_extract_all(t, '(\[[^\]]+\]|[^\[]+|\[)', 1), lambda x: CASE WHEN regexp_matches(x, '^\[[^\]]+\]$') THEN ' ' || replace(upper(x[2:-2]), ' ', '-') || ' ' ELSE x END) AS parts FROM raw)
+SELECT ann_id, array_to_string(parts, '') AS text FROM p"""
+)
 def i6_label_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Texts with bracketed labels as tokens."""
     return raw_texts(spark, sf).select("ann_id", tx.labels_to_tokens(F.col("t")).alias("text"))
@@ -283,7 +286,15 @@ def j6_arpabet(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("phone", lx.arpabet(F.col("phone")).alias("arpabet"), "n")
 
 
-@query()
+@query(
+    rf"""WITH {q.IV}, w AS (SELECT * FROM iv WHERE tier = 'words' AND xmax > xmin AND {q.english('text')}), p AS (SELECT * FROM iv WHERE tier = 'pinyin_phones' AND xmax > xmin),
+m AS (SELECT w.interval_id AS word_id, w.text AS word, p.interval_id AS part_id, p.text AS text, row_number() OVER (PARTITION BY p.dataset, p.stem, p.interval_id ORDER BY w.xmin, w.interval_id) AS r
+  FROM w JOIN p USING (dataset, stem) WHERE p.xmin < w.xmax - 0.001 AND p.xmax > w.xmin + 0.001), ar(ipa, ar) AS (VALUES {_AR_VALUES}),
+x AS (SELECT *, {_PHONE_STRIP} AS t, starts_with(text, 'en:') AS en FROM m WHERE r = 1),
+y AS (SELECT x.*, coalesce(ar, CASE WHEN en THEN {_PHONE_STRIP}[4:] ELSE t END) AS a, NOT en AND t <> '' AND NOT {q.silence('text')} AND NOT (t NOT IN ({q.names(tk.PHONE_SILENCE)})
+  AND NOT regexp_replace(t, '[012]+$', '') IN ({q.names((*tk.ENGLISH_VOWELS, *tk.ENGLISH_CONSONANTS, *tk.PHONE_SILENCE))}) AND {_MANDARIN}) AS other FROM x LEFT JOIN ar ON ipa = CASE WHEN en THEN t[4:] ELSE t END)
+SELECT word_id, part_id, word, text AS part, CASE WHEN (en OR other) AND a <> '' THEN 'en:' || a END AS label FROM y"""
+)
 def j7_english_phones(spark: SparkSession, sf: str) -> DataFrame:
     """Labels of the phones under English words."""
     from tessella.operators import intervals as iv
