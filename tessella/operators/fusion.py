@@ -688,6 +688,12 @@ def _items(rows) -> list[Item]:
     return [Item(float(r["xmin"]), float(r["xmax"]), r["text"] or "") for r in (rows if rows is not None else [])]
 
 
+def _map(entries) -> dict[str, list[str]]:
+    """A map column's value, which comes as a dictionary or as its pairs."""
+    pairs = entries.items() if isinstance(entries, dict) else entries if entries is not None else ()
+    return {k: list(v) for k, v in pairs}
+
+
 def _entries(rows) -> list[dict]:
     """Aligned English words as dictionaries without nulls; those without text or start match no word."""
     given = [{k: v for k, v in r.items() if v is not None} for r in (rows if rows is not None else [])]
@@ -729,12 +735,12 @@ def fuse_one(words: list[Item], phones: list[Item], tokens: list[Item], punct: l
 FUSED = "dataset string, stem string, tier string, ord int, xmin double, xmax double, text string, reasons string, error string"
 
 
-def fused(utterances: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
+def fused(utterances: DataFrame) -> DataFrame:
     """Fused tiers of every utterance, one input row each with nested words, phones, tokens, punct (arrays of xmin, xmax,
-    text) and text, samples and sample_rate where there is audio, and en_words (rows as of ``lexicon.absolute_phones``)
-    where English words were aligned.
+    text), text and entries (a map from lower-case word to phones, for its own words), samples and sample_rate where there is
+    audio, and en_words (rows as of ``lexicon.absolute_phones``) where English words were aligned.
 
-    An utterance that fails gives one row with ``error``. The lexicon is bounded by its file and sent once per task.
+    An utterance whose values can't be worked with gives one row with ``error``.
     """
 
     def kernel(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -744,12 +750,12 @@ def fused(utterances: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
                 try:
                     samples = u.get("samples")
                     audio = None if samples is None else np.asarray(samples, np.float32)
-                    made = fuse_one(*(sorted(_items(u[k]), key=lambda i: (i.x0, i.x1)) for k in ("words", "phones", "tokens", "punct")), u["text"] or "", lexicon, audio, int(u.get("sample_rate") or 16000), _entries(u.get("en_words")))
+                    made = fuse_one(*(sorted(_items(u[k]), key=lambda i: (i.x0, i.x1)) for k in ("words", "phones", "tokens", "punct")), u["text"] or "", _map(u.get("entries")), audio, int(u.get("sample_rate") or 16000), _entries(u.get("en_words")))
                     ords: dict[str, int] = {}
                     for tier, a, b, t in made["rows"]:
                         ords[tier] = ords.get(tier, -1) + 1
                         out.append((u["dataset"], u["stem"], tier, ords[tier], a, b, t, ",".join(made["reasons"]), None))
-                except Exception as e:  # the row says so; the batch goes on
+                except (ArithmeticError, LookupError, ValueError) as e:  # the row says so; the batch goes on
                     out.append((u["dataset"], u["stem"], None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FUSED.split(", ")])
 

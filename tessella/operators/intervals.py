@@ -285,7 +285,8 @@ def name_pairs(tokens: DataFrame) -> DataFrame:
 def next_start_ends(items: DataFrame, epsilon: float = 0.001) -> DataFrame:
     """Every item ends at the first start of its utterance that is later by more than ``epsilon``; the last keeps its end."""
     us = F.round(F.col("xmin") * 1_000_000).cast("bigint")
-    w = Window.partitionBy(*UTT).orderBy("_us").rangeBetween(int(epsilon * 1_000_000) + 1, Window.unboundedFollowing)
+    # from the last backward, so that the frame only grows and each row costs the same
+    w = Window.partitionBy(*UTT).orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, -(int(epsilon * 1_000_000) + 1))
     return items.withColumn("_us", us).withColumn("new_xmax", F.coalesce(F.min("xmin").over(w), "xmax")).drop("_us")
 
 

@@ -10,41 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.lexicon import last_entries
+from tessella.functions.tokens import stripped
 from tessella.operators import adjust, align, audio, fusion, signal
 from tessella.plans.interval_queries import UTT, ended_rows, tiers
 from tessella.queries import query
 from tessella.session import table
 from tessella.sources import voices
 
-MAX_LEXICON = 1_000_000
+def used_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per utterance with the lexicon entries of its words, tokens and written English: ``entries``, a map from
+    lower-case word to phones.
 
-
-def sent_lexicon(spark: SparkSession, sf: str) -> dict[str, list[str]]:
-    """The lexicon as a dictionary, refused beyond ``MAX_LEXICON`` entries."""
-    rows = last_entries(table(spark, sf, "lexicon")).orderBy("line_no").limit(MAX_LEXICON + 1).collect()
-    if len(rows) > MAX_LEXICON:
-        raise ValueError("the lexicon is too large to be sent to the tasks")
-    out: dict[str, list[str]] = {}
-    for r in rows:
-        out.setdefault(r.token.lower(), list(r.phones))
-    return out
-
-
-def _nested(rows: DataFrame, name: str) -> DataFrame:
-    return rows.where("text is not null").groupBy(*UTT).agg(F.array_sort(F.collect_list(F.struct("xmin", "xmax", "text"))).alias(name))
+    The lexicon is joined, not sent: its size has no bound, and only the entries that an utterance can use get there.
+    """
+    rows = tiers(spark, sf, "words", "raw_text").where("text is not null")
+    own = F.when(F.col("tier") == "words", F.array("text")).otherwise(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1)))
+    said = table(spark, sf, "ctc_token").where("word is not null").select(*UTT, F.array("word").alias("w"))
+    words = rows.select(*UTT, own.alias("w")).unionByName(said).select(*UTT, F.explode("w").alias("w")).select(*UTT, F.lower(stripped(F.col("w"))).alias("word")).distinct()
+    first = last_entries(table(spark, sf, "lexicon")).groupBy(F.lower("token").alias("word")).agg(F.min_by("phones", "line_no").alias("phones"))
+    return words.join(first, "word").groupBy(*UTT).agg(F.map_from_entries(F.collect_list(F.struct("word", "phones"))).alias("entries"))
 
 
 def assembled(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per utterance: its words, phones, tokens and anchors nested, and its text."""
-    rows = tiers(spark, sf, "words", "pinyin_phones", "raw_text").where("xmax > xmin")
-    out = _nested(rows.where("tier = 'words'"), "words")
-    out = out.join(_nested(rows.where("tier = 'pinyin_phones'"), "phones"), UTT, "left")
-    kind = lambda k: F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("xmin", "xmax", "text"))))
-    said = ended_rows(spark, sf).where("text is not null").groupBy(*UTT).agg(kind("token").alias("tokens"), kind("punct").alias("punct"))
-    some = [F.when(F.size(c) > 0, F.col(c)).alias(c) for c in ("tokens", "punct")]
-    out = out.join(said.select(*UTT, *some), UTT, "left")
-    text = rows.where("tier = 'raw_text'").groupBy(*UTT).agg(F.min_by("text", "xmin").alias("text"))
-    return out.join(text, UTT, "left")
+    """One row per utterance with words: its words, phones, tokens and anchors nested in time order, and its text."""
+    named = {"words": "words", "pinyin_phones": "phones", "raw_text": "text", "token": "tokens", "punct": "punct"}
+    rows = tiers(spark, sf, "words", "pinyin_phones", "raw_text").where("xmax > xmin").select(*UTT, F.col("tier").alias("kind"), "xmin", "xmax", "text")
+    rows = rows.unionByName(ended_rows(spark, sf).select(*UTT, "kind", "xmin", "xmax", "text")).where("text is not null or kind = 'raw_text'")
+    item = F.struct("xmin", "xmax", "text")
+    lists = rows.groupBy(*UTT).agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, item))).alias(n) for k, n in named.items() if n != "text"], F.min_by("text", F.when(F.col("kind") == "raw_text", F.col("xmin"))).alias("text"))
+    some = [F.when(F.size(n) > 0, F.col(n)).alias(n) for n in named.values() if n != "text"]
+    return lists.select(*UTT, *some, "text").where("words is not null")
 
 
 @query()
@@ -103,14 +98,14 @@ def f7_english_fragments(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def g8_fused(spark: SparkSession, sf: str) -> DataFrame:
     """All phases of the fusion, without audio."""
-    return fusion.fused(assembled(spark, sf), sent_lexicon(spark, sf))
+    return fusion.fused(assembled(spark, sf).join(used_lexicon(spark, sf), UTT, "left"))
 
 
 @query()
 def g8_heard(spark: SparkSession, sf: str) -> DataFrame:
     """All phases of the fusion with the recordings voiced from the words."""
     sound = voices.voiced(audio.nested_words(tiers(spark, sf, "words"))).select(*UTT, "samples", "sample_rate")
-    return fusion.fused(assembled(spark, sf).join(sound, UTT, "left"), sent_lexicon(spark, sf))
+    return fusion.fused(assembled(spark, sf).join(sound, UTT, "left").join(used_lexicon(spark, sf), UTT, "left"))
 
 
 @query()

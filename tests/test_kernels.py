@@ -4,6 +4,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessella.operators import adjust, align, fusion, signal
 from tessella.operators.fusion import Item
 
@@ -296,7 +298,7 @@ def test_fused_table(spark):
     good = ("d", "u", words, [(0.3, 0.5, "p"), (0.5, 0.7, "a˥")], [(0.3, 0.7, "ba1")], [(0.72, 0.9, "。")], "八。", [float(x) for x in audio_of((0.3, 0), (0.4, 0.3), (0.3, 0))], SR)
     bad = ("d", "v", [(None, 1.0, "x")], None, None, None, None, None, None)
     empty = ("d", "w", [], None, None, None, None, None, None)
-    got = fusion.fused(spark.createDataFrame([good, bad, empty], kind), {"ba1": ["b", "a1"]}).collect()
+    got = fusion.fused(spark.createDataFrame([good, bad, empty], kind).withColumn("entries", F.expr("map('ba1', array('b', 'a1'))"))).collect()
     assert [r.error is not None for r in got if r.stem == "v"] == [True]
     hanzi = [r.text for r in got if r.stem == "u" and r.tier == "hanzi"]
     assert "八" in hanzi and hanzi[-1] == "。"
@@ -332,7 +334,7 @@ def test_fused_table_with_english_phones(spark):
     entries = [("hi", 0.5, 1.0, 0.5, 1.0, [("HH", 0.5, 0.7), ("AY1", 0.7, 1.0)]), ("no", 3.0, 3.2, None, None, [])]
     row = ("d", "u", words, [(0.0, 0.2, "p"), (0.2, 0.5, "a˥"), (0.5, 1.0, "spn")], words, [], "八 hi", entries)
     bare = (*row[:1], "v", *row[2:7], None)
-    got = fusion.fused(spark.createDataFrame([row, bare], kind), {"ba1": ["b", "a1"]}).collect()
+    got = fusion.fused(spark.createDataFrame([row, bare], kind).withColumn("entries", F.expr("map('ba1', array('b', 'a1'))"))).collect()
     assert not [r.error for r in got if r.error]
     phones = {s: [r.text for r in got if r.stem == s and r.tier == "pinyin_phones"] for s in "uv"}
     assert phones["u"] == ["b", "a1", "en:HH", "en:AY1"] and "en:HH" not in phones["v"]
