@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tessella.functions.lexicon import last_entries
 from tessella.functions.tokens import stripped
 from tessella.operators import adjust, align, audio, fusion, signal
+from tessella.plans import sqltext as q
 from tessella.plans.interval_queries import UTT, ended_rows, tiers
 from tessella.queries import query
 from tessella.session import table
@@ -42,7 +43,11 @@ def assembled(spark: SparkSession, sf: str) -> DataFrame:
     return lists.select(*UTT, *some, "text").where("words is not null")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {q.IV}, {q.NESTED}, u AS (SELECT id, dataset, stem, list_transform(words, lambda w: lower(w.t)) AS a, list_transform(tokens, lambda t: lower(t)) AS b FROM ul WHERE tokens IS NOT NULL),
+{q.alignment('{x} = {y}', True)}, p AS (SELECT id, count(*) FILTER (step = 0 AND a[i + 1] = b[j + 1]) AS pairs FROM steps JOIN u USING (id) GROUP BY 1)
+SELECT dataset, stem, CAST(len(a) AS INTEGER) AS words, CAST(len(b) AS INTEGER) AS tokens, CAST(coalesce(pairs, 0) AS INTEGER) AS pairs FROM u LEFT JOIN p USING (id)"""
+)
 def f1_equal_alignment(spark: SparkSession, sf: str) -> DataFrame:
     """Words aligned with tokens by equality: pairs found of both lengths."""
     u = assembled(spark, sf)
@@ -60,7 +65,16 @@ def _per_utterance(df: DataFrame, make, schema: str) -> DataFrame:
     return df.mapInPandas(kernel, schema)
 
 
-@query()
+_HANZI = f"""{q.IV}, {q.NESTED}, wr AS (SELECT id, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS ord FROM ul),
+word AS (SELECT id, ord, w.t AS text, w.a AS xmin, w.b AS xmax, {q.silence('w.t')} AS sil, {q.punct('w.t')} AS pun FROM wr),
+spoken AS (SELECT id, ord, {q.strip('text')} AS text, row_number() OVER (PARTITION BY id ORDER BY ord) AS k FROM word WHERE NOT sil AND NOT pun),
+u AS (SELECT id, coalesce((SELECT list(text ORDER BY k) FROM spoken WHERE spoken.id = ul.id), []) AS a, {q.units("replace(text, '<sp1>', '')")} AS b FROM ul),
+{q.alignment(q.STANDS_FOR, False)}, met AS (SELECT steps.id, i + 1 AS k, CASE WHEN step = 0 THEN b[j + 1] ELSE a[i + 1] END AS label FROM steps JOIN u USING (id) WHERE step <> 2),
+hanzi AS (SELECT dataset, stem, word.ord, xmin, xmax, word.text AS was, sil OR pun AS mute, CASE WHEN sil THEN {q.grade('xmax - xmin')} WHEN pun THEN word.text ELSE coalesce(label, '') END AS text
+  FROM word JOIN ul USING (id) LEFT JOIN spoken ON spoken.id = word.id AND spoken.ord = word.ord LEFT JOIN met ON met.id = word.id AND met.k = spoken.k)"""
+
+
+@query(f"WITH RECURSIVE {_HANZI} SELECT dataset, stem, CAST(ord AS INTEGER) AS ord, xmin, xmax, text FROM hanzi")
 def f2_hanzi(spark: SparkSession, sf: str) -> DataFrame:
     """The hanzi tier built from the words by fuzzy alignment with the text."""
 
@@ -71,7 +85,7 @@ def f2_hanzi(spark: SparkSession, sf: str) -> DataFrame:
     return _per_utterance(assembled(spark, sf).select(*UTT, "words", "text"), make, "dataset string, stem string, ord int, xmin double, xmax double, text string")
 
 
-@query()
+@query(f"WITH RECURSIVE {_HANZI} SELECT dataset, stem, CAST(ord AS INTEGER) AS ord, was, text FROM hanzi WHERE NOT mute AND regexp_full_match(text, '[A-Za-z]{{2,}}') AND text <> was")
 def f5_spellings(spark: SparkSession, sf: str) -> DataFrame:
     """Words whose spelling the text changes."""
 
@@ -83,7 +97,15 @@ def f5_spellings(spark: SparkSession, sf: str) -> DataFrame:
     return _per_utterance(assembled(spark, sf).select(*UTT, "words", "text"), make, "dataset string, stem string, ord int, was string, text string")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {q.IV}, {q.NESTED}, u AS (SELECT id, dataset, stem, tokens AS a, {q.units('text')} AS b FROM ul WHERE tokens IS NOT NULL),
+{q.alignment(q.STANDS_FOR, False)}, o AS (SELECT id, i, j, step, row_number() OVER (PARTITION BY id ORDER BY i, j) AS n FROM steps),
+m AS (SELECT id, i, step, last_value(CASE WHEN step = 0 THEN j END IGNORE NULLS) OVER (PARTITION BY id ORDER BY n) AS r FROM o),
+f AS (SELECT m.id, r, a[i + 1] AS t, b[r + 1] AS w FROM m JOIN u USING (id) WHERE step <> 2 AND r IS NOT NULL),
+s AS (SELECT id, r, count(*) AS n, any_value(w) AS w, min(t) AS t, bool_and(NOT {q.vocal('t')} AND (contains(lower(w), lower(t)) OR ({q.pinyin('lower(t)')} AND list_has_any(string_split(lower(t)[:-2], ''), string_split(lower(w), ''))))) AS ok FROM f GROUP BY 1, 2),
+c AS (SELECT id, sum(n - 1) AS less FROM s WHERE ok AND regexp_full_match(w, '[A-Za-z]{{2,}}') AND (n > 1 OR w <> t) GROUP BY 1)
+SELECT dataset, stem, CAST(len(a) AS INTEGER) AS tokens, CAST(len(a) - less AS INTEGER) AS joined FROM u JOIN c USING (id)"""
+)
 def f7_english_fragments(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens whose fragments of English words are joined."""
 

@@ -75,3 +75,41 @@ def floors(name: str, frame: str, share: float) -> str:
 #: Energy of each word.
 ENERGY = """en AS (SELECT interval_id, CAST(coalesce(sum(v) / any_value(m), 0) AS FLOAT) AS energy FROM (SELECT interval_id, dataset, stem, b - a AS m, unnest(range(a, b)) AS k FROM wv) JOIN cov USING (dataset, stem, k) GROUP BY 1),
 we AS (SELECT wv.*, CAST(coalesce(energy, 0) AS DOUBLE) AS energy FROM wv LEFT JOIN en USING (interval_id))"""
+
+
+def alignment(match: str, exact: bool) -> str:
+    """Global alignment at unit costs of ``u`` (id, a, b), lists of texts: ``steps`` (id, i, j, step) from the end back.
+
+    ``match`` is a condition on ``x`` and ``y``. Each row of the cost table is a list; steps are 0 for a pair, 1 for an item of
+    ``a`` alone, 2 for one of ``b``; on ties a pair goes first if ``exact``, else an item of ``a``, then one of ``b``.
+    """
+    differ = lambda x, y: "CASE WHEN " + match.replace("{x}", x).replace("{y}", y) + " THEN 0 ELSE 1 END"
+    pair = f"i > 0 AND j > 0 AND c1[j + 1] = c0[j] + {differ('a[i]', 'b[j]')}"
+    a, b = "i > 0 AND c1[j + 1] = c0[j + 1] + 1", "j > 0 AND c1[j + 1] = c1[j] + 1"
+    first = f"WHEN {pair} THEN 0 WHEN {a} THEN 1 ELSE 2" if exact else f"WHEN {a} THEN 1 WHEN {b} THEN 2 ELSE 0"
+    return f"""costs(id, i, c) AS (SELECT id, CAST(0 AS BIGINT), range(0, len(b) + 1) FROM u UNION ALL
+  SELECT id, i + 1, list_reduce(list_prepend([i + 1], list_transform(range(1, len(b) + 1), lambda j: [least(c[j + 1] + 1, c[j] + {differ('a[i + 1]', 'b[j]')})])), lambda acc, x: list_append(acc, least(x[1], acc[-1] + 1)))
+  FROM costs JOIN u USING (id) WHERE i < len(a)),
+trace(id, i, j, step) AS (SELECT id, CAST(len(a) AS BIGINT), CAST(len(b) AS BIGINT), CAST(NULL AS INTEGER) FROM u UNION ALL
+  SELECT id, CASE WHEN s = 2 THEN i ELSE i - 1 END, CASE WHEN s = 1 THEN j ELSE j - 1 END, s FROM (
+    SELECT t.id, t.i, t.j, CASE {first} END AS s FROM (SELECT t.id, t.i, t.j, u.a, u.b, d1.c AS c1, d0.c AS c0 FROM trace t JOIN u ON u.id = t.id JOIN costs d1 ON d1.id = t.id AND d1.i = t.i LEFT JOIN costs d0 ON d0.id = t.id AND d0.i = t.i - 1 WHERE t.i > 0 OR t.j > 0) t)),
+steps AS (SELECT * FROM trace WHERE step IS NOT NULL)"""
+
+
+#: Whether token ``x`` can stand for the written unit ``y``, without a table of readings.
+STANDS_FOR = r"""(CASE WHEN regexp_matches({y}, '^[一-鿿]') THEN regexp_full_match(lower(trim({x})), '[a-z]+[1-5]') WHEN NOT regexp_full_match({y}, '[\x00-\x7F]*') THEN FALSE
+  ELSE contains(lower({y}), lower(trim({x}))) OR contains(lower(trim({x})), lower({y})) OR contains(trim(lower({y}), '<>'), trim(lower(trim({x})), '<>')) OR contains(trim(lower(trim({x})), '<>'), trim(lower({y}), '<>'))
+    OR regexp_full_match(trim({x}), '\p{L}+\p{Nd}') END)"""
+
+
+def units(c: str) -> str:
+    """Ideographs one by one, letters with digits and hyphens together, other characters by themselves; of these the words."""
+    shape = r"[一-鿿]|[\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Coptic}\p{Hiragana}\p{Katakana}\p{Hangul}\p{N}\-\x{3400}-\x{4DBF}]+|[^\s]"
+    return f"list_filter(regexp_extract_all({c}, '{shape}'), lambda w: {word_like('w')})"
+
+
+#: Words, tokens and text of each utterance as the kernels take them.
+NESTED = f"""wl AS (SELECT dataset, stem, list({{'t': text, 'a': xmin, 'b': xmax}} ORDER BY xmin, xmax, text) AS words FROM iv WHERE tier = 'words' AND xmax > xmin AND text IS NOT NULL GROUP BY 1, 2),
+tl AS (SELECT dataset, stem, list(word ORDER BY start_s, end_s, word) AS tokens FROM (SELECT DISTINCT token_id, dataset, stem, start_s, end_s, word FROM ctc_token WHERE start_s IS NOT NULL AND word IS NOT NULL) GROUP BY 1, 2),
+xl AS (SELECT dataset, stem, list(text ORDER BY xmin)[1] AS text FROM iv WHERE tier = 'raw_text' AND xmax > xmin GROUP BY 1, 2),
+ul AS (SELECT row_number() OVER (ORDER BY dataset, stem) AS id, dataset, stem, words, tokens, coalesce(text, '') AS text FROM wl LEFT JOIN tl USING (dataset, stem) LEFT JOIN xl USING (dataset, stem))"""
