@@ -48,6 +48,46 @@ def digits_spelled_outside_tags(text: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.when(F.length(p) == 1, digits_spelled(p)).otherwise(p)), "")
 
 
+# Units of places within four digits, and of every four digits; more digits than those reach are read one by one.
+UNITS, GREAT_UNITS = ("", "十", "百", "千"), ("", "万", "亿", "万")
+MOST_DIGITS = 16
+#: Stretches of a text that are read as one, and what protects digits: brackets, tags and capital labels.
+NUMERAL_PIECES = r"(\[[^\]]*\]|<[^>]*>|[A-Z][A-Z0-9-]*[A-Z0-9]|[0-9]+(?:\.[0-9]+)?%|[0-9]+/[0-9]+|(?:[0-9]{4}|[0-9]{2})年|[0-9]+(?:\.[0-9]+)?|[^0-9])"
+
+
+def whole_number(digits: Column) -> Column:
+    """A string of digits read as a number by place value, leading zeros aside; of more than sixteen digits one by one."""
+    bare = F.ltrim(digits, F.lit("0"))
+    n = F.length(bare)
+    unit, great = F.array(*map(F.lit, UNITS)), F.array(*map(F.lit, GREAT_UNITS))
+
+    def read(c: Column, i: Column) -> Column:
+        place = n - 1 - i
+        return F.concat(digits_spelled(c), F.when(c == "0", "").otherwise(F.get(unit, place % 4)), F.when(place % 4 == 0, F.get(great, F.floor(place / 4).cast("int"))).otherwise(""))
+
+    said = F.array_join(F.transform(F.filter(F.split(bare, ""), lambda c: c != ""), read), "")
+    for pattern, to in (("零+([万亿])", "$1"), ("亿万", "亿"), ("零+", "零"), ("零$", ""), ("^一十", "十")):
+        said = F.regexp_replace(said, pattern, to)
+    return F.when(n == 0, "零").when(n > MOST_DIGITS, digits_spelled(digits)).otherwise(said)
+
+
+def numerals_spelled(text: Column) -> Column:
+    """Numbers as they are read: whole ones and decimals, shares in percent, fractions, and years digit by digit.
+
+    Brackets, tags and capital labels stay as they are, and so does a sign before a number.
+    """
+    number = lambda p: F.concat(whole_number(F.regexp_extract(p, "^([0-9]+)", 1)), F.when(p.contains("."), F.concat(F.lit("点"), digits_spelled(F.regexp_extract(p, r"\.([0-9]+)", 1)))).otherwise(""))
+
+    def read(p: Column) -> Column:
+        fraction = F.concat(whole_number(F.regexp_extract(p, "/([0-9]+)$", 1)), F.lit("分之"), whole_number(F.regexp_extract(p, "^([0-9]+)/", 1)))
+        return (
+            F.when(~p.rlike("^[0-9]"), p).when(p.endswith("年"), digits_spelled(p)).when(p.endswith("%"), F.concat(F.lit("百分之"), number(p)))
+            .when(p.contains("/"), fraction).otherwise(number(p))
+        )
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(NUMERAL_PIECES), F.lit(1)), read), "")
+
+
 def name_restored(text: Column) -> Column:
     """Ideographic spellings of the name in Latin letters."""
     for v in NAME_VARIANTS:

@@ -126,8 +126,7 @@ def g8_fused(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def g8_heard(spark: SparkSession, sf: str) -> DataFrame:
     """All phases of the fusion with the recordings voiced from the words."""
-    sound = voices.voiced(audio.nested_words(tiers(spark, sf, "words"))).select(*UTT, "samples", "sample_rate")
-    return fusion.fused(assembled(spark, sf).join(sound, UTT, "left").join(used_lexicon(spark, sf), UTT, "left"))
+    return fusion.fused(_sounding(spark, sf).join(used_lexicon(spark, sf), UTT, "left"))
 
 
 @query()
@@ -155,26 +154,31 @@ def g1_punctuated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query()
-def e6_adjust_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """Boundary adjustment of every utterance over tones where its tokens sound, and how much moved in all.
-
-    The tables hold no audio, so each utterance is voiced by a tone during its words; the sums show the kernel at work.
-    """
+def e3_adjusted_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens and anchors with bounds moved by the energy of the recordings voiced from the words (E1 to E4)."""
 
     def make(u: dict) -> list[tuple]:
-        rows = lambda k: [{"word": x["text"], "start_s": x["xmin"], "end_s": x["xmax"]} for x in (u[k] if u[k] is not None else [])]
-        tokens, sr = rows("tokens"), 1000
-        end = max([t["end_s"] for t in tokens], default=0.0) + 0.5
-        audio = np.full(int(end * sr), 1e-4, np.float32)
-        for w in u["words"]:
-            if not w["text"].startswith("<sp"):
-                a, b = int(w["xmin"] * sr), int(w["xmax"] * sr)
-                audio[a:b] = 0.1 * np.sin(np.arange(max(0, min(b, len(audio)) - a)) * 0.9)
-        counts = adjust.adjusted(tokens, rows("punct"), audio, sr)[2]
-        return [(counts["start_adj"], counts["end_extend"], counts["end_shorten"], counts["punct_adj"])]
-
-    each = _per_utterance(assembled(spark, sf).where("tokens is not null"), make, "start_adj bigint, end_extend bigint, end_shorten bigint, punct_adj bigint")
-    return each.agg(*[F.sum(c).alias(c) for c in each.columns], F.count(F.lit(1)).alias("utterances"))
+        rows = {k: [{"word": x["text"], "start_s": x["xmin"], "end_s": x["xmax"]} for x in (u[k] if u[k] is not None else [])] for k in ("tokens", "punct")}
+        tokens, punct, _ = adjust.adjusted(rows["tokens"], rows["punct"], np.asarray(u["samples"], np.float32), int(u["sample_rate"]))
+        return [
+            (u["dataset"], u["stem"], kind, i, old["word"], old["start_s"], old["end_s"], new["start_s"], new["end_s"])
+            for kind, moved in (("tokens", tokens), ("punct", punct)) for i, (old, new) in enumerate(zip(rows[kind], moved, strict=True))
+        ]
+
+    return _per_utterance(_sounding(spark, sf), make, "dataset string, stem string, kind string, ord int, word string, old_start double, old_end double, start_s double, end_s double")
+
+
+def _sounding(spark: SparkSession, sf: str) -> DataFrame:
+    sound = voices.voiced(audio.nested_words(tiers(spark, sf, "words"))).select(*UTT, "samples", "sample_rate")
+    return assembled(spark, sf).join(sound, UTT, "left")
+
+
+@query()
+def e6_adjust_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """How many bounds moved in all, by kind and direction."""
+    move = lambda new, old: F.when(F.abs(F.col(new) - F.col(old)) > 1e-9, F.when(F.col(new) > F.col(old), "later").otherwise("earlier")).otherwise("same")
+    moved = e3_adjusted_bounds(spark, sf).select("kind", F.explode(F.array(F.struct(F.lit("start").alias("side"), move("start_s", "old_start").alias("moved")), F.struct(F.lit("end").alias("side"), move("end_s", "old_end").alias("moved")))).alias("m"))
+    return moved.groupBy("kind", "m.side", "m.moved").agg(F.count(F.lit(1)).alias("n"))
 
 
 # H: signals as tables of samples; the events' values stand for samples

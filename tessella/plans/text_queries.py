@@ -53,7 +53,42 @@ def i3_digits_spelled(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").where("text is not null").select("doc_id", tx.digits_spelled(F.col("text")).alias("text"))
 
 
-@query()
+_PROTECTED = r"(\[[^\]]*\]|<[^>]*>|[A-Z][A-Z0-9-]*[A-Z0-9]|[\s\S])"
+_ZH = "'0123456789', '" + "".join(tx.DIGITS.values()) + "'"
+
+
+def _whole_sql(s: str) -> str:
+    """A string of digits read as a number."""
+    bare = f"ltrim({s}, '0')"
+    place = f"(length({bare}) - i)"
+    units, great = f"[{q.names(tx.UNITS)}]", f"[{q.names(tx.GREAT_UNITS)}]"
+    said = f"array_to_string(list_transform(string_split({bare}, ''), lambda c, i: translate(c, {_ZH}) || CASE WHEN c = '0' THEN '' ELSE {units}[{place} % 4 + 1] END || CASE WHEN {place} % 4 = 0 THEN {great}[{place} // 4 + 1] ELSE '' END), '')"
+    for pattern, to in (("零+([万亿])", r"\1"), ("亿万", "亿"), ("零+", "零"), ("零$", ""), ("^一十", "十")):
+        said = f"regexp_replace({said}, '{pattern}', '{to}', 'g')"
+    return f"(CASE WHEN {bare} = '' THEN '零' WHEN length({bare}) > 16 THEN translate({s}, {_ZH}) ELSE {said} END)"
+
+
+def _number_sql(p: str) -> str:
+    whole, rest = f"regexp_extract({p}, '^[0-9]+')", rf"regexp_extract({p}, '\.([0-9]+)', 1)"
+    return f"{_whole_sql(whole)} || CASE WHEN contains({p}, '.') THEN '点' || translate({rest}, {_ZH}) ELSE '' END"
+
+
+@query(
+    f"""WITH t AS (SELECT DISTINCT text FROM documents WHERE regexp_matches(text, '[0-9]')), p AS (SELECT text, regexp_extract_all(text, '{tx.NUMERAL_PIECES}', 1) AS ps FROM t),
+n AS (SELECT DISTINCT unnest(ps) AS p FROM p), m AS (SELECT p, CASE WHEN ends_with(p, '年') THEN translate(p, {_ZH}) WHEN ends_with(p, '%') THEN '百分之' || {_number_sql('p')}
+  WHEN contains(p, '/') THEN {_whole_sql("split_part(p, '/', 2)")} || '分之' || {_whole_sql("split_part(p, '/', 1)")} ELSE {_number_sql('p')} END AS said FROM n WHERE regexp_matches(p, '^[0-9]'))
+SELECT p AS numeral, said FROM m"""
+)
+def i3_numerals(spark: SparkSession, sf: str) -> DataFrame:
+    """Every distinct numeral of the documents as it is read."""
+    texts = table(spark, sf, "documents").where(F.col("text").rlike("[0-9]"))
+    found = texts.select(F.explode(F.regexp_extract_all("text", F.lit(tx.NUMERAL_PIECES), F.lit(1))).alias("numeral")).where(F.col("numeral").rlike("^[0-9]")).distinct()
+    return found.select("numeral", tx.numerals_spelled(F.col("numeral")).alias("said"))
+
+
+@query(
+    rf"""WITH {RAW} SELECT ann_id, array_to_string(list_transform(regexp_extract_all(t, '{_PROTECTED}', 1), lambda p: CASE WHEN length(p) = 1 THEN translate(p, {_ZH}) ELSE p END), '') AS text FROM raw"""
+)
 def i3_digits_outside_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Annotation texts with digits as ideographs, tags and labels left alone."""
     return raw_texts(spark, sf).select("ann_id", tx.digits_spelled_outside_tags(F.col("t")).alias("text"))

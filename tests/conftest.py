@@ -54,14 +54,17 @@ def duck(small):
 
 @pytest.fixture(scope="session")
 def agree(spark, small, duck):
-    """Whether a query and its SQL give the same rows; without SQL, that it gives rows at all."""
+    """Checks that a query and its SQL give the same rows; without SQL, that ``holds``, a function of the rows and the test
+    tables' connection, is true of them."""
 
-    def check(query, sql):
+    def check(query, sql, holds=None):
         df = query(spark, small)
-        cols = sorted(df.columns)
-        rows = Counter(repr(tuple(plain(x) for x in r)) for r in df.select(*cols).collect())
         if sql is None:
+            rows = [r.asDict(recursive=True) for r in df.collect()]
+            assert rows and holds(rows, duck)
             return True
+        cols = sorted(df.columns)
+        rows = Counter(repr(tuple(plain(x) for x in r)) for r in df.select(*cols).collect())
         cur = duck.execute(sql)
         names = [d[0] for d in cur.description]
         assert sorted(names) == cols

@@ -81,3 +81,11 @@ def test_vocalisations_marked(spark):
 
 def test_word_units():
     assert tx.word_units("今天 hello-2，x") == ["今", "天", "hello-2", "，", "x"]
+
+
+def test_numbers_by_place_value(spark):
+    cases = {
+        "0": "零", "007": "七", "10": "十", "15个": "十五个", "110": "一百一十", "1001": "一千零一", "20305": "二万零三百零五", "100000": "十万", "1000001": "一百万零一", "100000000": "一亿", "100010000": "一亿零一万",
+        "100000001": "一亿零一", "1000000000000": "一万亿", "12345678901234567": "一二三四五六七八九零一二三四五六七", "3.05": "三点零五", "25%": "百分之二十五", "1/3": "三分之一", "2024年5月3日": "二零二四年五月三日", "[Pause2] <|a1|> BGM2 7": "[Pause2] <|a1|> BGM2 七", "-4": "-四", "": "",
+    }
+    assert values(spark, tx.numerals_spelled, *cases) == list(cases.values())
