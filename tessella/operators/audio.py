@@ -19,6 +19,7 @@ from tessella.operators import signal as sg
 
 UTT = ("dataset", "stem")
 Words = list[tuple[int, float, float, str]]
+KINDS = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
 Make = Callable[[np.ndarray, int, Words], list[tuple]]
 
 WORDS = "array<struct<interval_id:bigint,xmin:double,xmax:double,text:string>>"
@@ -40,7 +41,6 @@ def recordings(words: DataFrame, audio: DataFrame) -> DataFrame:
 def _per_recording(table: DataFrame, make: Make, schema: str) -> DataFrame:
     """Rows that ``make`` gives for each recording, behind the utterance's keys."""
     fields = [f.strip().split(" ") for f in schema.split(",")]
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "float": pa.float32(), "string": pa.string()}
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,7 +56,7 @@ def _per_recording(table: DataFrame, make: Make, schema: str) -> DataFrame:
                 of += [i] * len(rows)
             head = [batch.column(k).take(pa.array(of, pa.int64())) for k in UTT]
             cols = list(zip(*made, strict=True)) or [[]] * len(fields)
-            yield pa.RecordBatch.from_arrays([*head, *[pa.array(list(c), kinds[k]) for c, (_, k) in zip(cols, fields, strict=True)]], names=[*UTT, *[n for n, _ in fields]])
+            yield pa.RecordBatch.from_arrays([*head, *[pa.array(list(c), KINDS[k]) for c, (_, k) in zip(cols, fields, strict=True)]], names=[*UTT, *[n for n, _ in fields]])
 
     empty = F.array().cast(WORDS)
     whole = table.select(*UTT, "sample_rate", F.coalesce("samples", F.array().cast("array<float>")).alias("samples"), F.coalesce("words", empty).alias("words"))
@@ -164,3 +164,44 @@ def quiet_words(table: DataFrame, ratio: float = 10.0) -> DataFrame:
         return [(f["text"], f["energy"], f["noise_floor"]) for f in qc.words_in_silence([w[1:] for w in words], x, sr, ratio)]
 
     return _per_recording(table, make, "text string, energy double, noise_floor double")
+
+
+def frame_labels(table: DataFrame, frame_ms: int = 60) -> DataFrame:
+    """(dataset, stem, duration, labels): for each frame the number, from 1, of the word that sounds where it starts, 0 for none; a
+    stand-in for a recogniser's labels. Of words that overlap the later one counts."""
+
+    def make(x: np.ndarray, sr: int, words: Words) -> list[tuple]:
+        duration = len(x) / sr
+        labels = np.zeros(len(x) * 1000 // sr // frame_ms, np.int32)
+        at = np.arange(len(labels)) * frame_ms
+        for n, (_, a, b, t) in enumerate(words, 1):
+            if not tk.py_silence(t):
+                labels[(at >= int(a * 1000)) & (at < int(b * 1000))] = n
+        return [(duration, labels.tolist())]
+
+    return _per_recording(table, make, "duration double, labels array<int>")
+
+
+def label_pauses(labels: DataFrame, least_ms: int = 200) -> DataFrame:
+    """(dataset, stem, start_ms, end_ms, duration_ms) of blank stretches."""
+    return _per_labels(labels, lambda ids, _: sg.pauses(ids, 0, least_ms=least_ms), "start_ms int, end_ms int, duration_ms int")
+
+
+def label_spans(labels: DataFrame) -> DataFrame:
+    """(dataset, stem, label, start_s, end_s) of stretches of one label."""
+    return _per_labels(labels, lambda ids, duration: sg.token_spans(ids, 0, duration), "label int, start_s double, end_s double")
+
+
+def _per_labels(labels: DataFrame, make: Callable[[np.ndarray, float], list[tuple]], schema: str) -> DataFrame:
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, durations = batch.column("labels"), batch.column("duration").to_pylist()
+            flat, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+            each = [make(flat[a:b], d) for a, b, d in zip(at, at[1:], durations, strict=False)]
+            head = [batch.column(k).take(pa.array(np.repeat(np.arange(len(each)), [len(e) for e in each]))) for k in UTT]
+            cols = list(zip(*[r for e in each for r in e], strict=True)) or [[]] * len(fields)
+            yield pa.RecordBatch.from_arrays([*head, *[pa.array(list(c), KINDS[k]) for c, (_, k) in zip(cols, fields, strict=True)]], names=[*UTT, *[n for n, _ in fields]])
+
+    return labels.mapInArrow(kernel, "dataset string, stem string, " + schema)

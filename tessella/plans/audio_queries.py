@@ -114,3 +114,22 @@ SELECT dataset, stem, text, round(energy, 6) AS energy, round(nf, 6) AS noise_fl
 def k9_quiet_words(spark: SparkSession, sf: str) -> DataFrame:
     """Words no louder than silence allows."""
     return audio.quiet_words(heard(spark, sf))
+
+
+_LABELS = """fs AS (SELECT dataset, stem, n, n // 60 AS frames FROM len), nth AS (SELECT *, row_number() OVER (PARTITION BY dataset, stem ORDER BY xmin, xmax, interval_id) AS k FROM wv),
+lab AS (SELECT dataset, stem, frame, max(k) AS label FROM (SELECT dataset, stem, k, unnest(range((a + 59) // 60, (b + 59) // 60)) AS frame FROM nth WHERE NOT sil) JOIN fs USING (dataset, stem) WHERE frame < frames GROUP BY 1, 2, 3),
+allf AS (SELECT dataset, stem, frame, coalesce(label, 0) AS label, n FROM (SELECT dataset, stem, n, unnest(range(0, frames)) AS frame FROM fs) LEFT JOIN lab USING (dataset, stem, frame)),
+isl AS (SELECT *, frame - row_number() OVER (PARTITION BY dataset, stem, label ORDER BY frame) AS g FROM allf),
+run AS (SELECT dataset, stem, label, min(frame) AS a, max(frame) + 1 AS b, any_value(n) AS n FROM isl GROUP BY dataset, stem, label, g)"""
+
+
+@query(f"{_V}, {_LABELS} SELECT dataset, stem, CAST(a * 60 AS INTEGER) AS start_ms, CAST(b * 60 AS INTEGER) AS end_ms, CAST((b - a) * 60 AS INTEGER) AS duration_ms FROM run WHERE label = 0 AND (b - a) * 60 >= 200")
+def h15_pauses(spark: SparkSession, sf: str) -> DataFrame:
+    """Blank stretches of the frames' labels."""
+    return audio.label_pauses(audio.frame_labels(heard(spark, sf)))
+
+
+@query(f"{_V}, {_LABELS} SELECT dataset, stem, CAST(label AS INTEGER) AS label, round(greatest((a * 60 - 30) / 1000, 0), 3) AS start_s, round(least((b * 60 - 30) / 1000, n / 1000), 3) AS end_s FROM run WHERE label > 0")
+def h16_token_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Stretches of one label, with their times."""
+    return audio.label_spans(audio.frame_labels(heard(spark, sf)))

@@ -40,12 +40,37 @@ def l7_selected(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.selected(sets.where(F.col("name").startswith("VK")), exclude=["VKmoge"]).select("name", "audio_dir")
 
 
-@query("WITH u AS (SELECT dataset, stem, max(mode) AS mode FROM utterance GROUP BY 1, 2) SELECT dataset, count(*) AS wanted, count(*) AS done, 0 AS failed, true AS complete FROM u GROUP BY 1")
-def l2_streamed(spark: SparkSession, sf: str) -> DataFrame:
-    """Every utterance taken through the micro-batches of a stream, and the ledger's state of each data set."""
+def _run(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All utterances, and the ledger of one run over them in which those without sample rate fail."""
     work = shared_dir(spark, "stream")
-    rows = table(spark, sf, "utterance").groupBy("dataset", "stem").agg(F.max("mode").alias("mode"), F.max("xmax").alias("xmax"))
+    rows = table(spark, sf, "utterance").groupBy("dataset", "stem").agg(F.max("mode").alias("mode"), F.max("sample_rate").alias("sample_rate"))
     rows.repartition(6, "dataset", "stem").write.parquet(f"{work}/in")
-    mb.run_available(spark, f"{work}/in", "dataset string, stem string, mode string, xmax double", lambda df: df, f"{work}/out", f"{work}/ledger", f"{work}/checkpoint", 2)
-    states = mb.dataset_states(mb.read_ledger(spark, f"{work}/ledger"), rows)
-    return states.select("dataset", "wanted", "done", "failed", "complete")
+    plan = lambda df: df.withColumn("error", F.when(F.col("sample_rate").isNull(), "no sample rate"))
+    mb.run_available(spark, f"{work}/in", "dataset string, stem string, mode string, sample_rate int", plan, f"{work}/out", f"{work}/ledger", f"{work}/checkpoint", 2)
+    return rows, mb.read_ledger(spark, f"{work}/ledger")
+
+
+_RUN = "u AS (SELECT dataset, stem, max(mode) AS mode, max(sample_rate) AS rate FROM utterance GROUP BY 1, 2)"
+
+
+@query(f"WITH {_RUN} SELECT dataset, count(*) AS wanted, count(rate) AS done, count(*) - count(rate) AS failed, count(*) = count(rate) AS complete FROM u GROUP BY 1")
+def l2_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every utterance taken through the micro-batches of a stream, and the ledger's state of each data set."""
+    rows, ledger = _run(spark, sf)
+    return mb.dataset_states(ledger, rows).select("dataset", "wanted", "done", "failed", "complete")
+
+
+@query(
+    f"WITH {_RUN}, b AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY dataset, mode ORDER BY stem) - 1) / 25) AS INTEGER) AS batch FROM u WHERE mode IS NOT NULL) "
+    "SELECT mode, dataset, batch, count(*) AS stems, count(rate) AS done, count(*) - count(rate) AS failed, count(*) = count(rate) AS finished FROM b GROUP BY 1, 2, 3"
+)
+def l3_scheduled(spark: SparkSession, sf: str) -> DataFrame:
+    """Units of work by mode, data set and batch, and what a run over them has done."""
+    rows, ledger = _run(spark, sf)
+    return mb.unit_states(mb.schedule(rows.where("mode is not null"), 25), ledger)
+
+
+@query(f"WITH {_RUN} SELECT dataset, stem FROM u WHERE rate IS NULL")
+def l6_pending(spark: SparkSession, sf: str) -> DataFrame:
+    """Utterances that are taken up again after a run: those that failed."""
+    return mb.pending(*_run(spark, sf)).select("dataset", "stem")

@@ -168,6 +168,24 @@ def e3_adjusted_bounds(spark: SparkSession, sf: str) -> DataFrame:
     return _per_utterance(_sounding(spark, sf), make, "dataset string, stem string, kind string, ord int, word string, old_start double, old_end double, start_s double, end_s double")
 
 
+@query(
+    f"""WITH {q.IV}, w AS (SELECT *, xmin - lag(xmax) OVER (PARTITION BY dataset, stem ORDER BY xmin, xmax, text) AS gap FROM iv WHERE tier = 'words' AND xmax > xmin AND text IS NOT NULL AND NOT {q.silence('text')}),
+p AS (SELECT dataset, stem, string_agg(CASE WHEN gap IS NULL THEN '' WHEN gap > 0.05 THEN repeat(' ', 1 + greatest(1, CAST(trunc(gap / 0.03) AS BIGINT))) ELSE ' ' END || text, '' ORDER BY xmin, xmax, text) AS pinyin FROM w GROUP BY 1, 2),
+h AS (SELECT dataset, stem, string_agg(text, '' ORDER BY xmin, xmax, text) FILTER (NOT {q.silence('text')}) AS raw FROM iv WHERE tier = 'hanzi' AND xmax > xmin AND text IS NOT NULL GROUP BY 1, 2),
+a AS (SELECT DISTINCT dataset, stem FROM iv WHERE tier IN ('words', 'hanzi') AND xmax > xmin AND text IS NOT NULL) SELECT dataset, stem, coalesce(raw, '') AS raw, coalesce(pinyin, '') AS pinyin FROM a LEFT JOIN p USING (dataset, stem) LEFT JOIN h USING (dataset, stem)"""
+)
+def g7_rebuilt_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw text and pinyin of every utterance, built again from its tiers."""
+    rows = tiers(spark, sf, "words", "hanzi").where("xmax > xmin and text is not null")
+    item = F.struct("xmin", "xmax", "text")
+    nested = rows.groupBy(*UTT).agg(*[F.array_sort(F.collect_list(F.when(F.col("tier") == t, item))).alias(t) for t in ("words", "hanzi")])
+
+    def make(u: dict) -> list[tuple]:
+        return [(u["dataset"], u["stem"], *fusion.texts_rebuilt(fusion._items(u["words"]), [(h["xmin"], h["xmax"], h["text"]) for h in u["hanzi"]]))]
+
+    return _per_utterance(nested, make, "dataset string, stem string, raw string, pinyin string")
+
+
 def _sounding(spark: SparkSession, sf: str) -> DataFrame:
     sound = voices.voiced(audio.nested_words(tiers(spark, sf, "words"))).select(*UTT, "samples", "sample_rate")
     return assembled(spark, sf).join(sound, UTT, "left")

@@ -190,6 +190,15 @@ def a14_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return again.groupBy(*UTT, "tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("xmax") - F.col("xmin")), 3).alias("seconds"))
 
 
+_LAYOUT = ["%.lab", "%.TextGrid", "%\\_tokens.jsonl", "%\\_punct.json", "%\\_text\\_cn.txt", "%\\_text\\_raw.txt", "%/wavs/%", "%.wav"]
+
+
+@query("SELECT pattern, count(f.file_id) AS files FROM (VALUES " + ", ".join(f"('{p}')" for p in _LAYOUT) + r") AS p(pattern) LEFT JOIN ctc_file f ON f.path LIKE p.pattern ESCAPE '\' GROUP BY 1")
+def a22_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of the store by the patterns that its layout wants."""
+    return six.layout_counts(table(spark, sf, "ctc_file"), _LAYOUT)
+
+
 @query(f"WITH {MEM}, {AUD}, g AS (SELECT dataset, count(DISTINCT stem) AS textgrids FROM mem WHERE suffix = '.textgrid' GROUP BY 1), w AS (SELECT lower(dataset) AS dataset, count(DISTINCT stem) AS wavs FROM aud GROUP BY 1) SELECT dataset, coalesce(textgrids, 0) AS textgrids, wavs, coalesce(textgrids, 0) >= wavs AS done FROM w LEFT JOIN g USING (dataset)")
 def a24_speaker_counts(spark: SparkSession, sf: str) -> DataFrame:
     """TextGrids and recordings by speaker folder."""

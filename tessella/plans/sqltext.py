@@ -102,10 +102,13 @@ STANDS_FOR = r"""(CASE WHEN regexp_matches({y}, '^[一-鿿]') THEN regexp_full_m
     OR regexp_full_match(trim({x}), '\p{L}+\p{Nd}') END)"""
 
 
+#: Ideographs one by one, letters with digits and hyphens together, other characters by themselves.
+UNIT_SHAPE = r"[一-鿿]|[\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Coptic}\p{Hiragana}\p{Katakana}\p{Hangul}\p{N}\-\x{3400}-\x{4DBF}]+|[^\s]"
+
+
 def units(c: str) -> str:
-    """Ideographs one by one, letters with digits and hyphens together, other characters by themselves; of these the words."""
-    shape = r"[一-鿿]|[\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Coptic}\p{Hiragana}\p{Katakana}\p{Hangul}\p{N}\-\x{3400}-\x{4DBF}]+|[^\s]"
-    return f"list_filter(regexp_extract_all({c}, '{shape}'), lambda w: {word_like('w')})"
+    """The units of a text that are words."""
+    return f"list_filter(regexp_extract_all({c}, '{UNIT_SHAPE}'), lambda w: {word_like('w')})"
 
 
 #: Words, tokens and text of each utterance as the kernels take them.

@@ -94,6 +94,12 @@ def i3_digits_outside_tags(spark: SparkSession, sf: str) -> DataFrame:
     return raw_texts(spark, sf).select("ann_id", tx.digits_spelled_outside_tags(F.col("t")).alias("text"))
 
 
+@query(rf"WITH {RAW} SELECT ann_id, array_to_string(regexp_extract_all(t, '{q.UNIT_SHAPE}'), ' ') AS units FROM raw")
+def f4_word_units(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotation texts cut into ideographs, words and marks."""
+    return raw_texts(spark, sf).select("ann_id", F.array_join(tx.text_units(F.col("t")), " ").alias("units"))
+
+
 @query(f"WITH {RAW} SELECT ann_id, replace(replace(replace(replace(t, '瑞娅', 'ria'), '瑞亚', 'ria'), '瑞雅', 'ria'), '瑞啊', 'ria') AS text FROM raw")
 def i4_name_variants(spark: SparkSession, sf: str) -> DataFrame:
     """Texts with the name in Latin letters."""

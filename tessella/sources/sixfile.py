@@ -121,10 +121,53 @@ def speaker_counts(rows: DataFrame, audio: DataFrame) -> DataFrame:
     return out.withColumn("done", F.col("textgrids") >= F.col("wavs"))
 
 
+def layout_counts(listing: DataFrame, patterns: list[str]) -> DataFrame:
+    """(pattern, files): how many files' paths are like each pattern; counted in one pass."""
+    counts = listing.agg(*[F.count_if(F.col("path").like(p)).alias(f"c{i}") for i, p in enumerate(patterns)])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(p).alias("pattern"), F.col(f"c{i}").alias("files")) for i, p in enumerate(patterns)])).alias("x")).select("x.*")
+
+
 def check_layout(listing: DataFrame, patterns: list[str]) -> list[str]:
     """Patterns (SQL ``like`` on ``path``) that no file matches."""
-    counts = listing.agg(*[F.count_if(F.col("path").like(p)).alias(f"c{i}") for i, p in enumerate(patterns)]).first()
-    return [p for i, p in enumerate(patterns) if not counts[i]]
+    return [r.pattern for r in layout_counts(listing, patterns).where("files = 0").collect()]
+
+
+#: Ends of plain reference texts' names that recognisers leave, the bare one first.
+REFERENCE_ENDS = ("", "_qwen3-api", "_qwen3", "_firered")
+
+
+def reference_index(files: DataFrame) -> DataFrame:
+    """(dataset, stem, file_id, rank) of plain ``.txt`` texts with content, by the stem they speak of.
+
+    Members of the six-file record are none. ``rank`` is the place of the name's ending in ``REFERENCE_ENDS``: a file named
+    without one counts before those of recognisers, and its stem is what is left of the name.
+    """
+    low = F.regexp_replace(F.lower(F.replace("path", F.lit("\\"), F.lit("/"))), "/{2,}", "/")
+    ends = "|".join(e for e in REFERENCE_ENDS if e)
+    name = F.regexp_extract(low, r"([^/]+)\.txt$", 1)
+    end = F.regexp_extract(name, f"({ends})$", 1)
+    folder = F.regexp_extract(low, r"([^/]+)/(?:wavs/)?(?:[^/]+/)*?[^/]+$", 1)
+    plain = ~name.rlike("_text_(?:cn|raw)$") & (name != "") & (F.trim(plain_content(F.col("content"))) != "")
+    rank = F.array_position(F.array(*map(F.lit, REFERENCE_ENDS)), end) - 1
+    found = files.where(plain).select(folder.alias("dataset"), F.substr(name, F.lit(1), F.length(name) - F.length(end)).alias("stem"), "file_id", rank.cast("int").alias("rank"), plain_content(F.col("content")).alias("content"))
+    return found.where("dataset <> '' and stem <> ''")
+
+
+def resolved_texts(members_: DataFrame, references: DataFrame) -> DataFrame:
+    """(dataset, stem, source, content): the text of each stem by the whole chain.
+
+    First plain texts in the order of ``REFERENCE_ENDS``, then the record's clean text, raw text and tokens; a stem that bears a
+    recogniser's ending itself falls back to what its bare stem has.
+    """
+    own = first_of_chain(members_, ["_text_cn.txt", "_text_raw.txt", ".lab"])
+    ranked = references.select("dataset", "stem", F.col("rank").alias("_r"), F.concat(F.lit(".txt"), F.element_at(F.array(*map(F.lit, REFERENCE_ENDS)), F.col("rank") + 1)).alias("source"), "content", "file_id")
+    ranked = ranked.unionByName(own.select("dataset", "stem", F.lit(len(REFERENCE_ENDS)).alias("_r"), F.col("suffix").alias("source"), "content", F.lit(0).cast("bigint").alias("file_id")))
+    known = ranked.groupBy("dataset", "stem").agg(F.min_by(F.struct("source", "content"), F.struct("_r", "file_id")).alias("m")).select("dataset", "stem", "m.*")
+    stems = members_.select("dataset", "stem").unionByName(references.select("dataset", "stem")).distinct()
+    bare = F.regexp_replace("stem", "(?:" + "|".join(e for e in REFERENCE_ENDS if e) + ")$", "")
+    lost = stems.join(known, ["dataset", "stem"], "left_anti").where(bare != F.col("stem")).select("dataset", "stem", bare.alias("bare"))
+    again = lost.join(known.withColumnRenamed("stem", "bare"), ["dataset", "bare"]).select("dataset", "stem", "source", "content")
+    return known.unionByName(again)
 
 
 def reorganised(rows: DataFrame, path: str) -> None:

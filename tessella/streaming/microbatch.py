@@ -28,6 +28,22 @@ def with_mode(stems: DataFrame) -> DataFrame:
     return stems.withColumn("mode", F.when(F.col("complete"), "ctc_ready").otherwise("nvrasr_fallback"))
 
 
+def schedule(stems: DataFrame, size: int) -> DataFrame:
+    """Units of work (mode, dataset, batch, stems, first_stem, last_stem): each data set's stems of a mode in slices of ``size``."""
+    w = Window.partitionBy("dataset", "mode").orderBy("stem")
+    sliced = stems.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    return sliced.groupBy("mode", "dataset", "batch").agg(F.count(F.lit(1)).alias("stems"), F.min("stem").alias("first_stem"), F.max("stem").alias("last_stem"))
+
+
+def unit_states(units: DataFrame, ledger: DataFrame) -> DataFrame:
+    """``units`` with the stems ``done`` and ``failed`` so far, by their last line of the ledger, and whether one is ``finished``."""
+    last = ledger.groupBy("dataset", "stem").agg(F.max_by(F.struct("mode", "status"), F.struct("updated_at", "batch_id")).alias("s")).select("dataset", "stem", "s.mode", "s.status")
+    u, s = units.alias("u"), last.alias("s")
+    within = (F.col("u.dataset") == F.col("s.dataset")) & (F.col("u.mode") == F.col("s.mode")) & F.col("s.stem").between(F.col("u.first_stem"), F.col("u.last_stem"))
+    sums = u.join(s, within, "left").groupBy("u.mode", "u.dataset", "u.batch", "u.stems").agg(F.count_if(F.col("s.status") == "ok").alias("done"), F.count_if(F.col("s.status") == "error").alias("failed"))
+    return sums.withColumn("finished", F.col("done") == F.col("stems"))
+
+
 def pending(stems: DataFrame, ledger: DataFrame | None) -> DataFrame:
     """Stems not yet done; those that failed are tried again."""
     if ledger is None:
