@@ -298,10 +298,10 @@ def ended(items: DataFrame, mark: float = 0.060) -> DataFrame:
 
 
 def filled_gaps(items: DataFrame, above: float = 0.005) -> DataFrame:
-    """Items and, as rows of empty text, the gaps before, between and behind them up to ``utt_end``; each item ends at the next start."""
+    """Items, each up to the next one's start, and, as rows of empty text, the gaps before them and behind them up to ``utt_end``."""
     w = by_time()
     ends = items.withColumn("_next", F.lead("xmin").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    stop = F.coalesce(F.least("xmax", "_next"), "xmax")
+    stop = F.coalesce("_next", "xmax")
     spans = F.array(
         F.when(F.col("_first") & (F.col("xmin") > above), F.struct(F.lit(0.0).alias("xmin"), F.col("xmin").alias("xmax"), F.lit("").alias("text"))),
         F.struct("xmin", stop.alias("xmax"), "text"),

@@ -18,25 +18,25 @@ def tiers(spark: SparkSession, sf: str, *names: str, bounded: bool = True) -> Da
     return iv.tiers(table(spark, sf, "tier_interval"), *names, bounded=bounded)
 
 
-def anchors(spark: SparkSession, sf: str, name: str, id_col: str, open_too: bool = False) -> DataFrame:
-    """Tokens or anchors with both bounds, as their SQL takes them; with ``open_too`` also those without end."""
-    rows = table(spark, sf, name).where("start_s is not null" if open_too else "start_s is not null and end_s is not null")
+def anchors(spark: SparkSession, sf: str, name: str, id_col: str) -> DataFrame:
+    """Tokens or anchors as intervals, each id once; ends may be missing."""
+    rows = table(spark, sf, name).where("start_s is not null")
     return rows.select(F.col(id_col).alias("interval_id"), *UTT, F.col("start_s").alias("xmin"), F.col("end_s").alias("xmax"), F.col("word").alias("text")).repartition(*UTT).distinct()
 
 
-def token_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return anchors(spark, sf, "ctc_token", "token_id")
+def ended_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All tokens and punctuation anchors by ``kind``; those delivered without end get one."""
+    kinds = (("token", "ctc_token", "token_id"), ("punct", "ctc_punct", "punct_id"))
+    tokens, punct = (anchors(spark, sf, name, key).withColumn("kind", F.lit(kind)) for kind, name, key in kinds)
+    return iv.ended(tokens.unionByName(punct))
 
 
-def punct_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return anchors(spark, sf, "ctc_punct", "punct_id")
+def token_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return ended_rows(spark, sf).where("kind = 'token'").select("interval_id", *UTT, "xmin", "xmax", "text")
 
 
-def ended_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """All tokens and punctuation anchors by ``kind``, those delivered without end included."""
-    kinds = (("token", "ctc_token", "token_id"), ("punct", "ctc_punct", "punct_id"))
-    tokens, punct = (anchors(spark, sf, name, key, True).withColumn("kind", F.lit(kind)) for kind, name, key in kinds)
-    return iv.ended(tokens.unionByName(punct))
+def punct_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return ended_rows(spark, sf).where("kind = 'punct'").select("interval_id", *UTT, "xmin", "xmax", "text")
 
 
 def utterances(spark: SparkSession, sf: str) -> DataFrame:
@@ -344,7 +344,7 @@ def d13_next_start(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""WITH {q.TOK}, {q.UTT}, f AS (SELECT t.*, u.xmax AS utt_end, lead(t.xmin) OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS nx,
   row_number() OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS r FROM tok t JOIN utt u USING (dataset, stem)),
-s AS (SELECT *, coalesce(least(xmax, nx), xmax) AS stop FROM f)
+s AS (SELECT *, coalesce(nx, xmax) AS stop FROM f)
 SELECT dataset, stem, 0.0 AS xmin, xmin AS xmax, '' AS text FROM s WHERE r = 1 AND xmin > 0.005 UNION ALL SELECT dataset, stem, xmin, stop, text FROM s
 UNION ALL SELECT dataset, stem, stop, coalesce(nx, utt_end), '' FROM s WHERE coalesce(nx, utt_end) - stop > 0.005"""
 )
@@ -358,7 +358,7 @@ def a15_gap_filled_tier(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {q.TOK}, {q.PUN}, {q.UTT}, items AS (SELECT * FROM tok UNION ALL SELECT interval_id + 1000000000000, dataset, stem, xmin, xmax, text FROM pun),
 f AS (SELECT t.*, u.xmax AS utt_end, lead(t.xmin) OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS nx,
   row_number() OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS r FROM items t JOIN utt u USING (dataset, stem)),
-s AS (SELECT *, coalesce(least(xmax, nx), xmax) AS stop FROM f)
+s AS (SELECT *, coalesce(nx, xmax) AS stop FROM f)
 SELECT dataset, stem, 0.0 AS xmin, xmin AS xmax, '' AS text FROM s WHERE r = 1 AND xmin > 0.005 UNION ALL SELECT dataset, stem, xmin, stop, text FROM s
 UNION ALL SELECT dataset, stem, stop, coalesce(nx, utt_end), '' FROM s WHERE coalesce(nx, utt_end) - stop > 0.005"""
 )

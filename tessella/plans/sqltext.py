@@ -43,9 +43,14 @@ def grade(d: str) -> str:
 
 #: Tier rows with both bounds, each id once.
 IV = "iv AS (SELECT DISTINCT interval_id, dataset, stem, lower(tier) AS tier, ord, xmin, xmax, text FROM tier_interval WHERE xmin IS NOT NULL AND xmax IS NOT NULL)"
-#: Tokens and punctuation anchors as intervals, each id once.
-TOK = "tok AS (SELECT DISTINCT token_id AS interval_id, dataset, stem, start_s AS xmin, end_s AS xmax, word AS text FROM ctc_token WHERE start_s IS NOT NULL AND end_s IS NOT NULL)"
-PUN = "pun AS (SELECT DISTINCT punct_id AS interval_id, dataset, stem, start_s AS xmin, end_s AS xmax, word AS text FROM ctc_punct WHERE start_s IS NOT NULL AND end_s IS NOT NULL)"
+_ENDED = """(SELECT *, min(xmin) OVER (PARTITION BY dataset, stem ORDER BY us RANGE BETWEEN 1001 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM (
+  SELECT *, CAST(round(xmin * 1000000) AS BIGINT) AS us FROM (
+    SELECT DISTINCT 'token' AS kind, token_id AS interval_id, dataset, stem, start_s AS xmin, end_s AS own, word AS text FROM ctc_token WHERE start_s IS NOT NULL
+    UNION ALL SELECT DISTINCT 'punct', punct_id, dataset, stem, start_s, end_s, word FROM ctc_punct WHERE start_s IS NOT NULL)))"""
+#: Tokens and punctuation anchors as intervals, each id once; those without end last until the next start of their utterance, the
+#: last token until its own start and the last anchor 60 ms.
+TOK = f"tok AS (SELECT interval_id, dataset, stem, xmin, coalesce(own, later, xmin) AS xmax, text FROM {_ENDED} WHERE kind = 'token')"
+PUN = f"pun AS (SELECT interval_id, dataset, stem, xmin, coalesce(own, later, xmin + 0.06) AS xmax, text FROM {_ENDED} WHERE kind = 'punct')"
 UTT = "utt AS (SELECT dataset, stem, max(xmax) AS xmax FROM utterance GROUP BY 1, 2)"
 W = "PARTITION BY dataset, stem ORDER BY xmin, xmax, interval_id"
 WT = "PARTITION BY dataset, stem, tier ORDER BY xmin, xmax, interval_id"
