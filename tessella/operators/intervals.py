@@ -297,11 +297,12 @@ def ended(items: DataFrame, mark: float = 0.060) -> DataFrame:
     return next_start_ends(items).withColumn("xmax", F.coalesce("xmax", "new_xmax", last)).drop("new_xmax")
 
 
-def filled_gaps(items: DataFrame, above: float = 0.005) -> DataFrame:
-    """Items, each up to the next one's start, and, as rows of empty text, the gaps before them and behind them up to ``utt_end``."""
+def filled_gaps(items: DataFrame, above: float = 0.005, extend: bool = True) -> DataFrame:
+    """Items and, as rows of empty text, the gaps before, between and behind them up to ``utt_end``. With ``extend`` each item
+    reaches up to the next one's start, so that gaps are left before the first and behind the last only."""
     w = by_time()
     ends = items.withColumn("_next", F.lead("xmin").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    stop = F.coalesce("_next", "xmax")
+    stop = F.coalesce("_next", "xmax") if extend else F.coalesce(F.least("xmax", "_next"), "xmax")
     spans = F.array(
         F.when(F.col("_first") & (F.col("xmin") > above), F.struct(F.lit(0.0).alias("xmin"), F.col("xmin").alias("xmax"), F.lit("").alias("text"))),
         F.struct("xmin", stop.alias("xmax"), "text"),
@@ -310,6 +311,22 @@ def filled_gaps(items: DataFrame, above: float = 0.005) -> DataFrame:
     return ends.select(*UTT, F.explode(F.filter(spans, lambda s: s.isNotNull())).alias("s")).select(*UTT, "s.*")
 
 
+def two_tiers(items: DataFrame, pauses: DataFrame, ends: DataFrame) -> DataFrame:
+    """Rows (dataset, stem, tier_ord, tier, ord, xmin, xmax, text) of a grid with the tiers ``words``, of items up to the next start, and
+    ``pauses``, of (dataset, stem, start_ms, end_ms, duration_ms) labelled by their length; ``ends`` has xmax of each utterance.
+
+    An utterance without items has no words tier, and one without pauses a single empty interval.
+    """
+    until = ends.select(*UTT, F.col("xmax").alias("utt_end"))
+    words = filled_gaps(items.join(until, [*UTT])).withColumn("tier", F.lit("words"))
+    held = pauses.select(*UTT, F.col("start_ms").alias("interval_id"), (F.col("start_ms") / 1000).alias("xmin"), (F.col("end_ms") / 1000).alias("xmax"), F.concat(F.col("duration_ms").cast("string"), F.lit("ms")).alias("text"))
+    quiet = filled_gaps(held.join(until, [*UTT]), extend=False)
+    none = until.join(held.select(*UTT).distinct(), [*UTT], "left_anti").select(*UTT, F.lit(0.0).alias("xmin"), F.col("utt_end").alias("xmax"), F.lit("").alias("text"))
+    rows = words.unionByName(quiet.unionByName(none).withColumn("tier", F.lit("pauses")))
+    place = Window.partitionBy(*UTT, "tier").orderBy("xmin", "xmax", "text")
+    return rows.select(*UTT, F.when(F.col("tier") == "words", 1).otherwise(2).alias("tier_ord"), "tier", (F.row_number().over(place) - 1).alias("ord"), "xmin", "xmax", "text")
+
+
 def word_segments(tokens: DataFrame, max_gap: float = 0.35) -> DataFrame:
     """Segments of consecutive English words: a gap of ``max_gap`` or more splits, other words in between do not."""
     english = tokens.where(tk.is_english(F.col("text")))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.operators import audio
+from tessella.operators import audio, intervals
 from tessella.plans import sqltext as q
-from tessella.plans.interval_queries import tiers
+from tessella.plans.interval_queries import tiers, token_rows, utterances
 from tessella.queries import query
-from tessella.sources import voices
+from tessella.sources import textgrid, voices
 
 
 def heard(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,3 +133,31 @@ def h15_pauses(spark: SparkSession, sf: str) -> DataFrame:
 def h16_token_spans(spark: SparkSession, sf: str) -> DataFrame:
     """Stretches of one label, with their times."""
     return audio.label_spans(audio.frame_labels(heard(spark, sf)))
+
+
+_TWO_TIERS = f"""{q.IV}, {q.VOICED}, {_LABELS}, {q.TOK}, {q.UTT}, f AS (SELECT t.*, u.xmax AS utt_end, lead(t.xmin) OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS nx,
+  row_number() OVER (PARTITION BY t.dataset, t.stem ORDER BY t.xmin, t.xmax, t.interval_id) AS r FROM tok t JOIN utt u USING (dataset, stem)),
+ps AS (SELECT dataset, stem, a * 60 / 1000 AS xmin, b * 60 / 1000 AS xmax, (b - a) * 60 || 'ms' AS text FROM run WHERE label = 0 AND (b - a) * 60 >= 200),
+pf AS (SELECT p.*, u.xmax AS utt_end, lead(p.xmin) OVER w AS nx, row_number() OVER w AS r FROM ps p JOIN utt u USING (dataset, stem) WINDOW w AS (PARTITION BY p.dataset, p.stem ORDER BY p.xmin)),
+two AS (SELECT dataset, stem, 'words' AS tier, 0.0 AS xmin, xmin AS xmax, '' AS text FROM f WHERE r = 1 AND xmin > 0.005 UNION ALL SELECT dataset, stem, 'words', xmin, coalesce(nx, xmax), text FROM f
+ UNION ALL SELECT dataset, stem, 'words', xmax, utt_end, '' FROM f WHERE nx IS NULL AND utt_end - xmax > 0.005
+ UNION ALL SELECT dataset, stem, 'pauses', 0.0, xmin, '' FROM pf WHERE r = 1 AND xmin > 0.005 UNION ALL SELECT dataset, stem, 'pauses', xmin, coalesce(least(xmax, nx), xmax), text FROM pf
+ UNION ALL SELECT dataset, stem, 'pauses', coalesce(least(xmax, nx), xmax), coalesce(nx, utt_end), '' FROM pf WHERE coalesce(nx, utt_end) - coalesce(least(xmax, nx), xmax) > 0.005
+ UNION ALL SELECT dataset, stem, 'pauses', 0.0, xmax, '' FROM utt WHERE (dataset, stem) NOT IN (SELECT (dataset, stem) FROM ps))"""
+
+
+def _two_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals.two_tiers(token_rows(spark, sf), h15_pauses(spark, sf), utterances(spark, sf))
+
+
+@query(f"WITH {_TWO_TIERS} SELECT dataset, stem, CASE tier WHEN 'words' THEN 1 ELSE 2 END AS tier_ord, tier, CAST(row_number() OVER (PARTITION BY dataset, stem, tier ORDER BY xmin, xmax, text) - 1 AS INTEGER) AS ord, xmin, xmax, text FROM two")
+def a15_two_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """Words and pauses of every utterance as the two tiers of a grid."""
+    return _two_tiers(spark, sf)
+
+
+@query(f"WITH {_TWO_TIERS} SELECT dataset, stem, tier, count(*) AS n, round(sum(round(xmax, 6) - round(xmin, 6)), 3) AS seconds FROM two GROUP BY 1, 2, 3")
+def a15_two_tier_grids(spark: SparkSession, sf: str) -> DataFrame:
+    """The same written as TextGrids and read again: intervals and seconds of each tier."""
+    again = textgrid.interval_rows(textgrid.rendered(_two_tiers(spark, sf), ["dataset", "stem"]), ["dataset", "stem"])
+    return again.groupBy("dataset", "stem", "tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("xmax") - F.col("xmin")), 3).alias("seconds"))

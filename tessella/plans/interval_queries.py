@@ -79,13 +79,14 @@ def b5_tier_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"WITH {q.IV}, lx AS (SELECT lower(token) AS low, arg_min(token, line_no) AS token FROM lexicon GROUP BY 1) "
-    "SELECT interval_id, text AS was, coalesce(token, text) AS text FROM iv LEFT JOIN lx ON lower(text) = low WHERE tier = 'words' AND coalesce(token, text) <> text"
+    f"WITH {q.IV}, {q.TOK}, lx AS (SELECT lower(token) AS low, arg_min(token, line_no) AS token FROM lexicon GROUP BY 1), every AS (SELECT 'words' AS kind, interval_id, text FROM iv WHERE tier = 'words' UNION ALL SELECT 'token', interval_id, text FROM tok) "
+    "SELECT kind, interval_id, text AS was, token AS text FROM every JOIN lx ON lower(text) = low WHERE token <> text"
 )
 def b6_canonical_case(spark: SparkSession, sf: str) -> DataFrame:
-    """Words whose spelling the lexicon changes."""
-    rows = tiers(spark, sf, "words").withColumn("was", F.col("text"))
-    return iv.canonical_case(rows, table(spark, sf, "lexicon")).where("text <> was").select("interval_id", "was", "text")
+    """Words and tokens whose spelling the lexicon changes."""
+    rows = tiers(spark, sf, "words").select("interval_id", "text", F.lit("words").alias("kind"))
+    rows = rows.unionByName(token_rows(spark, sf).select("interval_id", "text", F.lit("token").alias("kind"))).withColumn("was", F.col("text"))
+    return iv.canonical_case(rows, table(spark, sf, "lexicon")).where("text <> was").select("kind", "interval_id", "was", "text")
 
 
 @query(

@@ -246,10 +246,13 @@ def k4_misaligned_phones(spark: SparkSession, sf: str) -> DataFrame:
     return qc.misaligned_phones(tiers(spark, sf, "words", "pinyin_phones"))
 
 
-@query(f"WITH {q.IV} SELECT interval_id, dataset, stem FROM iv WHERE tier = 'words' AND {q.strip('text')} = '<sp3>'")
+_SP3 = f"WITH {q.IV} SELECT interval_id, dataset, stem FROM iv WHERE tier = 'words' AND {q.strip('text')} = '<sp3>'"
+
+
+@query(f"WITH {q.IV} SELECT interval_id, dataset, stem FROM iv WHERE tier = 'words' AND (({q.silence('text')} AND xmax - xmin >= 1.5) OR (NOT {q.silence('text')} AND {q.strip('text')} = '<sp3>'))")
 def k5_long_silences(spark: SparkSession, sf: str) -> DataFrame:
-    """Silences of the longest grade."""
-    return qc.long_silences(tiers(spark, sf, "words"))
+    """Silences of the longest grade, once they are graded."""
+    return qc.long_silences(iv.relabelled(tiers(spark, sf, "words")))
 
 
 @query(f"WITH {q.IV}, n AS (SELECT *, row_number() OVER ({q.WT}) AS i FROM iv WHERE tier = 'words') SELECT dataset, stem, count(*) AS n FROM n WHERE i > 1 AND {q.silence('text')} AND {q.strip('text')} <> '' GROUP BY 1, 2")
@@ -299,7 +302,7 @@ def _statuses(spark: SparkSession, sf: str) -> DataFrame:
 def _reasons_sql() -> str:
     parts = ("k1_pinyin_in_text", "k2_incomplete_tiers", "k3_tier_desync", "k4_misaligned_phones", "k5_long_silences", "k6_middle_silences", "d3_unexpected_silences", "k8_background_suspects")
     said = ("pinyin_in_text", "incomplete_tiers", "tier_desync", "misaligned_phones", "sp3", "mid_sp", "unexpected_silence", "bgm_suspect")
-    return " UNION ALL ".join(f"SELECT dataset, stem, {i} AS rank, '{r}' AS reason FROM ({SQL[p]})" for i, (p, r) in enumerate(zip(parts, said, strict=True)))
+    return " UNION ALL ".join(f"SELECT dataset, stem, {i} AS rank, '{r}' AS reason FROM ({_SP3 if r == 'sp3' else SQL[p]})" for i, (p, r) in enumerate(zip(parts, said, strict=True)))
 
 
 STATUS = (

@@ -146,7 +146,7 @@ def reference_index(files: DataFrame) -> DataFrame:
     ends = "|".join(e for e in REFERENCE_ENDS if e)
     name = F.regexp_extract(low, r"([^/]+)\.txt$", 1)
     end = F.regexp_extract(name, f"({ends})$", 1)
-    folder = F.regexp_extract(low, r"([^/]+)/(?:wavs/)?(?:[^/]+/)*?[^/]+$", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(low, "([^/]+)/wavs/", 1), F.lit("")), F.regexp_extract(low, "([^/]+)/[^/]+$", 1))
     plain = ~name.rlike("_text_(?:cn|raw)$") & (name != "") & (F.trim(plain_content(F.col("content"))) != "")
     rank = F.array_position(F.array(*map(F.lit, REFERENCE_ENDS)), end) - 1
     found = files.where(plain).select(folder.alias("dataset"), F.substr(name, F.lit(1), F.length(name) - F.length(end)).alias("stem"), "file_id", rank.cast("int").alias("rank"), plain_content(F.col("content")).alias("content"))

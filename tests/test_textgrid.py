@@ -129,3 +129,18 @@ def test_wav_candidates(spark):
 def test_lexicon_lines(spark):
     lines = spark.createDataFrame([(0, "﻿a1  a1"), (1, "one"), (2, " ba1\tb a1 ")], "line_no int, value string")
     assert [(r.token, r.phones) for r in six.lexicon_lines(lines).orderBy("line_no").collect()] == [("a1", ["a1"]), ("ba1", ["b", "a1"])]
+
+
+def test_reference_texts_and_the_whole_chain(spark):
+    kind = "file_id bigint, path string, modified_at timestamp, content string"
+    paths = [
+        (1, "/m/Set/wavs/u1.txt", "plain"), (2, "/m/Set/wavs/u1_qwen3.txt", "heard"), (3, "/m/Set/wavs/u1_text_cn.txt", "clean"), (4, "P:\\Set\\u2_firered.txt", "two"), (5, "/m/Set/wavs/u3_text_raw.txt", "raw"),
+        (6, "/m/Set/wavs/u1_qwen3-api.lab", ""), (7, "/m/Set/wavs/u4.txt", " \n"), (8, "/m/Set/wavs/u4.lab", "de5"), (9, "/m/Set/wavs/u5_firered.lab", ""), (10, "/m/Set/wavs/u5.lab", "le5"), (11, None, "x"),
+    ]
+    files = spark.createDataFrame([(i, p, None, c) for i, p, c in paths], kind)
+    refs = six.reference_index(files)
+    assert sorted((r.stem, r.file_id, r.rank) for r in refs.collect()) == [("u1", 1, 0), ("u1", 2, 2), ("u2", 4, 3)]
+    got = {(r.stem, r.source, r.content) for r in six.resolved_texts(six.members(files), refs).collect()}
+    assert got == {
+        ("u1", ".txt", "plain"), ("u2", ".txt_firered", "two"), ("u3", "_text_raw.txt", "raw"), ("u4", ".lab", "de5"), ("u5", ".lab", "le5"), ("u1_qwen3-api", ".txt", "plain"), ("u5_firered", ".lab", "le5"),
+    }
