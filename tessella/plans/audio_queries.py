@@ -98,7 +98,7 @@ def h14_resampled(spark: SparkSession, sf: str) -> DataFrame:
     f"""{_V}, {q.ENERGY}, {q.frames('fr', 10)}, {q.floors('fl', 'fr', 0.6)}, j AS (SELECT we.*, greatest(fl.floor, 1e-6) AS nf FROM we JOIN fl USING (dataset, stem)),
 s AS (SELECT dataset, stem, any_value(nf) AS nf, avg(energy) FILTER (NOT sil AND energy > 0) AS voice, sum(xmax - xmin) FILTER (sil AND xmax - xmin >= 0.3) AS total,
   count(*) FILTER (sil AND xmax - xmin >= 0.3 AND energy > greatest(nf * 2, 0.005)) AS loud, sum(xmax - xmin) FILTER (sil AND xmax - xmin >= 0.3 AND energy > greatest(nf * 2, 0.005)) AS suspect FROM j GROUP BY 1, 2)
-SELECT dataset, stem, round(CAST(nf AS DOUBLE), 6) AS noise_floor, round(coalesce(voice, 0), 6) AS avg_speech_energy, CAST(loud AS INTEGER) AS suspect_intervals, round(suspect / total, 3) AS suspect_ratio, round(total, 3) AS total_sil_dur, round(suspect, 3) AS suspect_dur
+SELECT dataset, stem, round_even(CAST(nf AS DOUBLE), 6) AS noise_floor, round_even(coalesce(voice, 0), 6) AS avg_speech_energy, CAST(loud AS INTEGER) AS suspect_intervals, round_even(suspect / total, 3) AS suspect_ratio, round_even(total, 3) AS total_sil_dur, round_even(suspect, 3) AS suspect_dur
 FROM s WHERE loud > 0 AND suspect / total > 0.1"""
 )
 def k8_background_suspects(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +109,7 @@ def k8_background_suspects(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""{_V}, {q.ENERGY}, {q.frames('fr', 10)}, {q.floors('fl', 'fr', 0.15)}, f AS (SELECT we.*, CAST(floor AS DOUBLE) AS nf, NOT sil AND ({q.english('text')} OR {q.vocal('text')}) AS other FROM we JOIN fl USING (dataset, stem)),
 n AS (SELECT *, other OR coalesce(lag(other) OVER w, FALSE) OR coalesce(lead(other) OVER w, FALSE) AS near FROM f WINDOW w AS (PARTITION BY dataset, stem ORDER BY xmin, xmax, interval_id))
-SELECT dataset, stem, text, round(energy, 6) AS energy, round(nf, 6) AS noise_floor FROM n WHERE NOT near AND NOT sil AND NOT contains('，。…！？、；：', {q.strip('text')}) AND energy > 0 AND energy < nf * 10"""
+SELECT dataset, stem, text, round_even(energy, 6) AS energy, round_even(nf, 6) AS noise_floor FROM n WHERE NOT near AND NOT sil AND NOT contains('，。…！？、；：', {q.strip('text')}) AND energy > 0 AND energy < nf * 10"""
 )
 def k9_quiet_words(spark: SparkSession, sf: str) -> DataFrame:
     """Words no louder than silence allows."""
@@ -156,8 +156,8 @@ def a15_two_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return _two_tiers(spark, sf)
 
 
-@query(f"WITH {_TWO_TIERS} SELECT dataset, stem, tier, count(*) AS n, round(sum(round(xmax, 6) - round(xmin, 6)), 3) AS seconds FROM two GROUP BY 1, 2, 3")
+@query(f"WITH {_TWO_TIERS} SELECT dataset, stem, tier, count(*) AS n, CAST(sum({q.micros('xmax')} - {q.micros('xmin')}) AS BIGINT) AS micros FROM two GROUP BY 1, 2, 3")
 def a15_two_tier_grids(spark: SparkSession, sf: str) -> DataFrame:
-    """The same written as TextGrids and read again: intervals and seconds of each tier."""
+    """The same written as TextGrids and read again: intervals and length of each tier."""
     again = textgrid.interval_rows(textgrid.rendered(_two_tiers(spark, sf), ["dataset", "stem"]), ["dataset", "stem"])
-    return again.groupBy("dataset", "stem", "tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("xmax") - F.col("xmin")), 3).alias("seconds"))
+    return again.groupBy("dataset", "stem", "tier").agg(F.count(F.lit(1)).alias("n"), F.sum(textgrid.micros(F.col("xmax")) - textgrid.micros(F.col("xmin"))).alias("micros"))

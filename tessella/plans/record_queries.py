@@ -183,11 +183,11 @@ def a14_rendered(spark: SparkSession, sf: str) -> DataFrame:
     return tg.rendered(rows, UTT)
 
 
-@query(f"WITH {_WRITTEN} SELECT dataset, stem, tier, count(*) AS n, round(sum(round(xmax, 6) - round(xmin, 6)), 3) AS seconds FROM o GROUP BY 1, 2, 3")
+@query(f"WITH {_WRITTEN} SELECT dataset, stem, tier, count(*) AS n, CAST(sum({q.micros('xmax')} - {q.micros('xmin')}) AS BIGINT) AS micros FROM o GROUP BY 1, 2, 3")
 def a14_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Intervals of the rendered TextGrids, read again: as many and as long as those written."""
     again = tg.interval_rows(a14_rendered(spark, sf), UTT)
-    return again.groupBy(*UTT, "tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("xmax") - F.col("xmin")), 3).alias("seconds"))
+    return again.groupBy(*UTT, "tier").agg(F.count(F.lit(1)).alias("n"), F.sum(tg.micros(F.col("xmax")) - tg.micros(F.col("xmin"))).alias("micros"))
 
 
 _LAYOUT = ["%.lab", "%.TextGrid", "%\\_tokens.jsonl", "%\\_punct.json", "%\\_text\\_cn.txt", "%\\_text\\_raw.txt", "%/wavs/%", "%.wav"]

@@ -41,6 +41,11 @@ def grade(d: str) -> str:
     return f"(CASE WHEN {d} < 0.2 THEN '<sp0>' WHEN {d} < 0.5 THEN '<sp1>' WHEN {d} < 1.5 THEN '<sp2>' ELSE '<sp3>' END)"
 
 
+def micros(c: str) -> str:
+    """Whole microseconds, rounded as decimals are."""
+    return f"CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38, 20)), 6) * 1000000 AS BIGINT)"
+
+
 #: Tier rows with both bounds, each id once.
 IV = "iv AS (SELECT DISTINCT interval_id, dataset, stem, lower(tier) AS tier, ord, xmin, xmax, text FROM tier_interval WHERE xmin IS NOT NULL AND xmax IS NOT NULL)"
 _ENDED = """(SELECT *, min(xmin) OVER (PARTITION BY dataset, stem ORDER BY us RANGE BETWEEN 1001 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM (

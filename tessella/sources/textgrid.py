@@ -12,7 +12,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from tessella.functions.text import quoted, seconds_text
 
 _NUMBER = r"([-+0-9.eE]+)"
-_INTERVAL = rf'intervals \[\d+\]:?\s*xmin = {_NUMBER}\s*xmax = {_NUMBER}\s*text = "((?:[^"]|"")*)"'
+#: What stands between quotes, doubled quotes included; written so that the engine does not descend a level with each character.
+_QUOTED = r'"([^"]*+(?:""[^"]*+)*+)"'
+_INTERVAL = rf"intervals \[\d+\]:?\s*xmin = {_NUMBER}\s*xmax = {_NUMBER}\s*text = {_QUOTED}"
+
+
+def micros(seconds: Column) -> Column:
+    """Whole microseconds of a bound, which is what a TextGrid keeps."""
+    return F.round(seconds * 1_000_000).cast("bigint")
 
 
 def parsed(content: Column) -> Column:
@@ -31,7 +38,7 @@ def parsed(content: Column) -> Column:
     tiers = F.transform(
         items,
         lambda item: F.struct(
-            F.regexp_extract(item, r'name = "((?:[^"]|"")*)"', 1).alias("tier"),
+            F.regexp_extract(item, f"name = {_QUOTED}", 1).alias("tier"),
             F.regexp_extract(item, rf"xmin = {_NUMBER}", 1).cast("double").alias("xmin"),
             F.regexp_extract(item, rf"xmax = {_NUMBER}", 1).cast("double").alias("xmax"),
             zipped(item).cast(kind).alias("intervals"),

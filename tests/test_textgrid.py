@@ -144,3 +144,10 @@ def test_reference_texts_and_the_whole_chain(spark):
     assert got == {
         ("u1", ".txt", "plain"), ("u2", ".txt_firered", "two"), ("u3", "_text_raw.txt", "raw"), ("u4", ".lab", "de5"), ("u5", ".lab", "le5"), ("u1_qwen3-api", ".txt", "plain"), ("u5_firered", ".lab", "le5"),
     }
+
+
+def test_very_long_texts(spark):
+    long = "字" * 200_000 + 'say "x" ' * 500
+    df = spark.createDataFrame([("d", "u", 1, "words", 0, 0.0, 1.0, long)], "dataset string, stem string, tier_ord int, tier string, ord int, xmin double, xmax double, text string")
+    again = tg.interval_rows(tg.rendered(df, ["dataset", "stem"]), ["dataset", "stem"]).collect()
+    assert [r.text for r in again] == [long]

@@ -89,3 +89,9 @@ def test_numbers_by_place_value(spark):
         "100000001": "一亿零一", "1000000000000": "一万亿", "12345678901234567": "一二三四五六七八九零一二三四五六七", "3.05": "三点零五", "25%": "百分之二十五", "1/3": "三分之一", "2024年5月3日": "二零二四年五月三日", "[Pause2] <|a1|> BGM2 7": "[Pause2] <|a1|> BGM2 七", "-4": "-四", "": "",
     }
     assert values(spark, tx.numerals_spelled, *cases) == list(cases.values())
+
+
+def test_very_long_words(spark):
+    df = spark.createDataFrame([("a" * 100_000 + "…" * 1000 + "，" + "9" * 1000,)], "t string")
+    row = df.select(F.size(tx.text_units(F.col("t"))).alias("n"), F.length(tx.ellipses_cleaned(F.col("t"))).alias("e"), F.length(tx.numerals_spelled(F.col("t"))).alias("m")).first()
+    assert tuple(row) == (1 + 1000 + 1 + 1, 100_000 + 1 + 1 + 1000, 100_000 + 1000 + 1 + 1000)
