@@ -685,6 +685,8 @@ def texts_rebuilt(words: Sequence[Item], hanzi: Sequence[tuple[float, float, str
 
 
 def _items(rows) -> list[Item]:
+    if any(r["xmin"] is None or r["xmax"] is None for r in (rows if rows is not None else [])):
+        raise ValueError("an interval lacks a bound")
     return [Item(float(r["xmin"]), float(r["xmax"]), r["text"] or "") for r in (rows if rows is not None else [])]
 
 
