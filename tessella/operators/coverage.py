@@ -229,6 +229,11 @@ def coverage(rows: DataFrame, keys: list[str], id_col: str, start: str, end: str
     than ``CUT`` shards is cut at its ends only: what it covers in between is joined to the shards that other rows touch.
     Whether there are such rows is asked first.
     """
+    if {"kind", "from_ms", "to_ms"} & set(keys):
+        raise ValueError("a key bears the name of a result")
+    named, keys = keys, [f"_key_{i}" for i in range(len(keys))]  # names of their own, whatever the caller's are
+    rows = rows.select(*[F.col(k).alias(n) for k, n in zip(named, keys, strict=True)], F.col(id_col).alias("_of"), F.col(start).alias("_from"), F.col(end).alias("_to"))
+    id_col, start, end = "_of", "_from", "_to"
     a, b = to_ms(F.col(start)), to_ms(F.col(end))
     clean = rows.select(*keys, F.col(id_col).cast("bigint").alias("id"), a.alias("lo"), b.alias("hi")).where("id is not null and lo < hi")
     clean = clean.withColumns({"_first": F.floor(F.col("lo") / SHARD).cast("bigint"), "_last": F.floor((F.col("hi") - 1) / SHARD).cast("bigint")})
@@ -250,7 +255,7 @@ def coverage(rows: DataFrame, keys: list[str], id_col: str, start: str, end: str
         own = [F.col("lo").alias("from_ms"), F.col("hi").alias("to_ms"), F.lit(1).alias("border")]
         for name, some in (("period", long), ("overlap", long.where("depth = 2"))):
             parts = parts.unionByName(some.select(*keys, F.lit(0).cast("bigint").alias("shard"), F.lit(name).alias("kind"), *own))
-    return joined_runs(parts, keys)
+    return joined_runs(parts, keys).withColumnsRenamed(dict(zip(keys, named, strict=True)))
 
 
 def tier_rows(intervals: DataFrame, punct: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,6 +118,35 @@ def f7_english_fragments(spark: SparkSession, sf: str) -> DataFrame:
     return _per_utterance(assembled(spark, sf).select(*UTT, "tokens", "text"), make, "dataset string, stem string, tokens int, joined int")
 
 
+@query(
+    rf"""WITH RECURSIVE {q.IV}, {q.NESTED}, u AS (SELECT id, dataset, stem, list_transform(tokens, lambda t: lower(t)) AS s, regexp_extract_all(text, '[A-Za-z]+') AS w FROM ul WHERE tokens IS NOT NULL),
+m(id, n, used, place) AS (SELECT id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BIGINT) FROM u UNION ALL
+  SELECT id, n + 1, CASE WHEN f > 0 THEN used + f ELSE len(s) END, CASE WHEN f > 0 THEN used + f - 1 END FROM (SELECT m.*, u.s, coalesce(list_position(u.s[used + 1:], lower(u.w[n + 1])), 0) AS f FROM m JOIN u USING (id) WHERE n < len(u.w)) x)
+SELECT dataset, stem, CAST(n - 1 AS INTEGER) AS ord, w[n] AS word, CAST(place AS INTEGER) AS place FROM m JOIN u USING (id) WHERE n > 0"""
+)
+def f8_positional_match(spark: SparkSession, sf: str) -> DataFrame:
+    """English words of the text by the tokens that speak them, in order."""
+
+    def make(u: dict) -> list[tuple]:
+        wanted = re.findall("[A-Za-z]+", u["text"] or "")
+        return [(u["dataset"], u["stem"], i, w, at) for i, (w, at) in enumerate(zip(wanted, align.positional_match([t["text"] for t in u["tokens"]], wanted), strict=True))]
+
+    return _per_utterance(assembled(spark, sf).where("tokens is not null").select(*UTT, "tokens", "text"), make, "dataset string, stem string, ord int, word string, place int")
+
+
+@query(
+    rf"""WITH {q.IV}, p AS (SELECT dataset, stem, list(text ORDER BY xmin)[1] AS pinyin FROM iv WHERE tier = 'pinyin' AND xmax > xmin GROUP BY 1, 2), r AS (SELECT dataset, stem, list(text ORDER BY xmin)[1] AS raw FROM iv WHERE tier = 'raw_text' AND xmax > xmin GROUP BY 1, 2),
+c AS (SELECT dataset, stem, list_filter(regexp_split_to_array(pinyin, '\s+'), lambda w: {q.word_like('w')}) AS ws, string_split(replace(raw, '<sp1>', ''), '') AS cs FROM p JOIN r USING (dataset, stem) WHERE pinyin IS NOT NULL AND raw IS NOT NULL),
+k AS (SELECT dataset, stem, ws, unnest(cs) AS c, generate_subscripts(cs, 1) AS i FROM c), o AS (SELECT *, {q.word_like('c')} AS sound, count(*) FILTER ({q.word_like('c')}) OVER (PARTITION BY dataset, stem ORDER BY i) AS n FROM k)
+SELECT dataset, stem, '<sp1> ' || coalesce(string_agg(CASE WHEN sound THEN ws[n] ELSE c END, ' ' ORDER BY i) FILTER (NOT sound OR n <= len(ws)), '') AS pinyin FROM o GROUP BY 1, 2"""
+)
+def i21_synced_pinyin(spark: SparkSession, sf: str) -> DataFrame:
+    """The pinyin of every utterance laid along its text."""
+    rows = tiers(spark, sf, "pinyin", "raw_text").where("xmax > xmin")
+    both = rows.groupBy(*UTT).agg(*[F.min_by("text", F.when(F.col("tier") == t, F.col("xmin"))).alias(n) for t, n in (("pinyin", "pinyin"), ("raw_text", "raw"))]).where("pinyin is not null and raw is not null and raw <> ''")
+    return _per_utterance(both, lambda u: [(u["dataset"], u["stem"], align.pinyin_synced(u["pinyin"], u["raw"]))], "dataset string, stem string, pinyin string")
+
+
 @query()
 def g8_fused(spark: SparkSession, sf: str) -> DataFrame:
     """All phases of the fusion, without audio."""

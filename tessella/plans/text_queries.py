@@ -288,6 +288,20 @@ crossed AS (SELECT unnest(heard.phones) AS ipa, unnest(parts) AS pinyin, 1 AS ra
 ipamap AS (SELECT ipa, arg_min(pinyin, (rank, place)) AS pinyin FROM (SELECT * FROM known UNION ALL SELECT * FROM crossed) GROUP BY ipa)"""
 
 
+@query(f"WITH {_MAP_CTE} SELECT c.ipa, c.pinyin, count(*) AS n, c.pinyin = any_value(m.pinyin) AS agrees FROM crossed c JOIN ipamap m ON m.ipa = c.ipa GROUP BY 1, 2")
+def j15_map_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of phones in both lexicons, and whether the map agrees."""
+    return lx.map_check(table(spark, sf, "lexicon"), _ipa_lexicon(spark, sf))
+
+
+@query("SELECT lower(token) AS word, array_to_string(arg_min(phones, line_no), ' ') AS phones FROM lexicon WHERE regexp_matches(token, '^[A-Za-z]+$') AND len(phones) > 0 GROUP BY 1")
+def j14_stress_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """The English lines of the lexicon as a pronouncing dictionary."""
+    rows = table(spark, sf, "lexicon").where(F.col("token").rlike("^[A-Za-z]+$"))
+    lines = rows.select("line_no", F.concat_ws(" ", "token", F.array_join("phones", " ")).alias("value"))
+    return lx.stress_entries(lines).select("word", F.array_join("phones", " ").alias("phones"))
+
+
 @query(f"WITH {_MAP_CTE} SELECT ipa, pinyin FROM ipamap")
 def j3_ipa_map(spark: SparkSession, sf: str) -> DataFrame:
     """Phonetic phones and their pinyin."""

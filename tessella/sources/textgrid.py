@@ -151,6 +151,7 @@ class _Files(InputPartition):
 class TextGridSource(DataSource):
     """``spark.read.format("textgrid").load(folder)``: interval rows of the TextGrids below a folder that all executors see.
 
+    The folder is listed by the driver, name by name; for millions of files, and for other file systems, use ``read_folder``.
     Options: ``per_partition``, the files read by one task (default 256).
     """
 

@@ -107,3 +107,8 @@ def test_random_with_long_rows(spark, rows, shard):
 def test_random(spark, rows, shard):
     rows = [(e, i, x / 1000, y / 1000) for e, i, x, y in rows]
     assert run(spark, rows, shard) == brute(rows)
+
+
+def test_keys_of_any_name(spark):
+    df = spark.createDataFrame([("a", "x", 1, 0.0, 1.0), ("a", "x", 2, 2.0, 3.0)], "id string, shard string, n bigint, lo double, hi double")
+    assert {tuple(r) for r in cov.coverage(df, ["id", "shard"], "n", "lo", "hi").collect()} == {("a", "x", "period", 0, 1000), ("a", "x", "period", 2000, 3000), ("a", "x", "gap", 1000, 2000)}
