@@ -261,11 +261,13 @@ class Scanner:
             k = int(item[a])
             base = int(self.first[k])
             some = a + np.flatnonzero(chained[a:b])
+            weights = np.diff(self.sums[base : self.first[k + 1] + 1])
+            if not self._dense(weights, ip[some] - base, to[some] - base) >= self.total[k] * self.m.share:
+                continue
             passages = self._passages(k, ip[some].tolist(), to[some].tolist(), dp[some].tolist())
-            covered = np.zeros(int(self.first[k + 1]) - base, bool)
+            covered = np.zeros(len(weights), bool)
             for i0, i1, _, _ in passages:
                 covered[i0 - base : i1 - base] = True
-            weights = np.diff(self.sums[base : self.first[k + 1] + 1])
             share = float(weights[covered].sum()) / float(self.total[k])
             if share >= self.m.share:
                 n = int(doc[a])
@@ -298,6 +300,15 @@ class Scanner:
             ok[some] = np.repeat(good, np.diff(np.append(first, len(some))))
         return np.where(ok, weight, 0)
 
+    def _dense(self, weights: np.ndarray, ip: np.ndarray, to: np.ndarray) -> int:
+        """Weight of the item's tokens that lie in any span of which the stretches, wherever they are in the text, hold
+        ``density``: no passages hold more."""
+        n = len(weights)
+        depth = np.bincount(ip, minlength=n + 1) - np.bincount(to, minlength=n + 1)
+        surplus = np.concatenate([[0.0], np.cumsum(np.where(np.cumsum(depth)[:n] > 0, 1 - self.m.density, -self.m.density) * weights)])
+        best = np.maximum.accumulate(surplus[::-1])[::-1][1:] - np.minimum.accumulate(surplus)[:-1]
+        return int(weights[best >= -1e-9].sum())
+
     def find(self, text: str) -> list[tuple[int, float, list[Passage]]]:
         return [x[1:] for x in self.find_all([text])] if text else []
 
