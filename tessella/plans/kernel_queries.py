@@ -3,45 +3,31 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.functions.lexicon import last_entries
-from tessella.functions.tokens import stripped
 from tessella.operators import adjust, align, audio, fusion, signal
 from tessella.plans import sqltext as q
+from tessella.plans import pipeline, steps
 from tessella.plans.interval_queries import UTT, ended_rows, tiers
+from tessella.plans.record_queries import a10_completeness
 from tessella.queries import query
 from tessella.session import table
 from tessella.sources import voices
 
-def used_lexicon(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per utterance with the lexicon entries of its words, tokens and written English: ``entries``, a map from
-    lower-case word to phones.
-
-    The lexicon is joined, not sent: its size has no bound, and only the entries that an utterance can use get there.
-    """
-    rows = tiers(spark, sf, "words", "raw_text").where("text is not null")
-    own = F.when(F.col("tier") == "words", F.array("text")).otherwise(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1)))
-    said = table(spark, sf, "ctc_token").where("word is not null").select(*UTT, F.array("word").alias("w"))
-    words = rows.select(*UTT, own.alias("w")).unionByName(said).select(*UTT, F.explode("w").alias("w")).select(*UTT, F.lower(stripped(F.col("w"))).alias("word")).distinct()
-    first = last_entries(table(spark, sf, "lexicon")).groupBy(F.lower("token").alias("word")).agg(F.min_by("phones", "line_no").alias("phones"))
-    return words.join(first, "word").groupBy(*UTT).agg(F.map_from_entries(F.collect_list(F.struct("word", "phones"))).alias("entries"))
+def _rows(spark: SparkSession, sf: str) -> DataFrame:
+    return tiers(spark, sf, "words", "pinyin_phones", "raw_text")
 
 
 def assembled(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per utterance with words: its words, phones, tokens and anchors nested in time order, and its text."""
-    named = {"words": "words", "pinyin_phones": "phones", "raw_text": "text", "token": "tokens", "punct": "punct"}
-    rows = tiers(spark, sf, "words", "pinyin_phones", "raw_text").where("xmax > xmin").select(*UTT, F.col("tier").alias("kind"), "xmin", "xmax", "text")
-    rows = rows.unionByName(ended_rows(spark, sf).select(*UTT, "kind", "xmin", "xmax", "text")).where("text is not null or kind = 'raw_text'")
-    item = F.struct("xmin", "xmax", "text")
-    lists = rows.groupBy(*UTT).agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, item))).alias(n) for k, n in named.items() if n != "text"], F.min_by("text", F.when(F.col("kind") == "raw_text", F.col("xmin"))).alias("text"))
-    some = [F.when(F.size(n) > 0, F.col(n)).alias(n) for n in named.values() if n != "text"]
-    return lists.select(*UTT, *some, "text").where("words is not null")
+    """One row per utterance: its words, phones, tokens and anchors nested, and its text."""
+    return steps.nested(_rows(spark, sf), ended_rows(spark, sf))
+
+
+def used_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    return steps.used_entries(_rows(spark, sf), ended_rows(spark, sf), table(spark, sf, "lexicon"))
 
 
 @query(
@@ -56,16 +42,6 @@ def f1_equal_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return u.where("tokens is not null").select(*UTT, F.size("words").alias("words"), F.size("tokens").alias("tokens"), F.size(pairs).alias("pairs"))
 
 
-def _per_utterance(df: DataFrame, make, schema: str) -> DataFrame:
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def kernel(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame([r for u in frame.to_dict("records") for r in make(u)], columns=names)
-
-    return df.mapInPandas(kernel, schema)
-
-
 _HANZI = f"""{q.IV}, {q.NESTED}, wr AS (SELECT id, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS ord FROM ul),
 word AS (SELECT id, ord, w.t AS text, w.a AS xmin, w.b AS xmax, {q.silence('w.t')} AS sil, {q.punct('w.t')} AS pun FROM wr),
 spoken AS (SELECT id, ord, {q.strip('text')} AS text, row_number() OVER (PARTITION BY id ORDER BY ord) AS k FROM word WHERE NOT sil AND NOT pun),
@@ -83,7 +59,7 @@ def f2_hanzi(spark: SparkSession, sf: str) -> DataFrame:
         words = [(w["xmin"], w["xmax"], w["text"]) for w in u["words"]]
         return [(u["dataset"], u["stem"], i, *h) for i, h in enumerate(align.hanzi_labels(words, u["text"] or ""))]
 
-    return _per_utterance(assembled(spark, sf).select(*UTT, "words", "text"), make, "dataset string, stem string, ord int, xmin double, xmax double, text string")
+    return steps.per_utterance(assembled(spark, sf).select(*UTT, "words", "text"), make, "dataset string, stem string, ord int, xmin double, xmax double, text string")
 
 
 @query(f"WITH RECURSIVE {_HANZI} SELECT dataset, stem, CAST(ord AS INTEGER) AS ord, was, text FROM hanzi WHERE NOT mute AND regexp_full_match(text, '[A-Za-z]{{2,}}') AND text <> was")
@@ -95,7 +71,7 @@ def f5_spellings(spark: SparkSession, sf: str) -> DataFrame:
         new = align.spellings_normalised(words, u["text"] or "")
         return [(u["dataset"], u["stem"], i, w[2], n[2]) for i, (w, n) in enumerate(zip(words, new, strict=True)) if w[2] != n[2]]
 
-    return _per_utterance(assembled(spark, sf).select(*UTT, "words", "text"), make, "dataset string, stem string, ord int, was string, text string")
+    return steps.per_utterance(assembled(spark, sf).select(*UTT, "words", "text"), make, "dataset string, stem string, ord int, was string, text string")
 
 
 @query(
@@ -115,7 +91,7 @@ def f7_english_fragments(spark: SparkSession, sf: str) -> DataFrame:
         new = align.english_fragments(tokens, u["text"] or "")
         return [(u["dataset"], u["stem"], len(tokens), len(new))] if new != tokens else []
 
-    return _per_utterance(assembled(spark, sf).select(*UTT, "tokens", "text"), make, "dataset string, stem string, tokens int, joined int")
+    return steps.per_utterance(assembled(spark, sf).select(*UTT, "tokens", "text"), make, "dataset string, stem string, tokens int, joined int")
 
 
 @query(
@@ -131,7 +107,7 @@ def f8_positional_match(spark: SparkSession, sf: str) -> DataFrame:
         wanted = re.findall("[A-Za-z]+", u["text"] or "")
         return [(u["dataset"], u["stem"], i, w, at) for i, (w, at) in enumerate(zip(wanted, align.positional_match([t["text"] for t in u["tokens"]], wanted), strict=True))]
 
-    return _per_utterance(assembled(spark, sf).where("tokens is not null").select(*UTT, "tokens", "text"), make, "dataset string, stem string, ord int, word string, place int")
+    return steps.per_utterance(assembled(spark, sf).where("tokens is not null").select(*UTT, "tokens", "text"), make, "dataset string, stem string, ord int, word string, place int")
 
 
 @query(
@@ -144,7 +120,7 @@ def i21_synced_pinyin(spark: SparkSession, sf: str) -> DataFrame:
     """The pinyin of every utterance laid along its text."""
     rows = tiers(spark, sf, "pinyin", "raw_text").where("xmax > xmin")
     both = rows.groupBy(*UTT).agg(*[F.min_by("text", F.when(F.col("tier") == t, F.col("xmin"))).alias(n) for t, n in (("pinyin", "pinyin"), ("raw_text", "raw"))]).where("pinyin is not null and raw is not null and raw <> ''")
-    return _per_utterance(both, lambda u: [(u["dataset"], u["stem"], align.pinyin_synced(u["pinyin"], u["raw"]))], "dataset string, stem string, pinyin string")
+    return steps.per_utterance(both, lambda u: [(u["dataset"], u["stem"], align.pinyin_synced(u["pinyin"], u["raw"]))], "dataset string, stem string, pinyin string")
 
 
 @query()
@@ -153,6 +129,26 @@ def g8_fused(spark: SparkSession, sf: str) -> DataFrame:
     return fusion.fused(assembled(spark, sf).join(used_lexicon(spark, sf), UTT, "left"))
 
 
+def _pipeline(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All steps of the mode for complete records, from the tables as delivered, with voiced recordings."""
+    raw = table(spark, sf, "nvv_annotations").where("raw_text is not null").groupBy(*UTT).agg(F.min_by("clean_text", "ann_id").alias("text"))
+    sound = voices.voiced(audio.nested_words(tiers(spark, sf, "words"))).select(*UTT, "sample_rate", "samples")
+    given = {"intervals": _rows(spark, sf), "anchors": ended_rows(spark, sf), "texts": raw, "audio": sound, "records": a10_completeness(spark, sf), "lexicon": table(spark, sf, "lexicon")}
+    return pipeline.Pipeline(steps.STEPS, {"resample": {"rate": voices.RATE}}).run(given, "ctc_ready")
+
+
+@query()
+def l9_ctc_ready(spark: SparkSession, sf: str) -> DataFrame:
+    """Fused tiers of all complete records, through every step of the pipeline."""
+    return _pipeline(spark, sf)["fused"]
+
+
+@query()
+def l9_statuses(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each of them is routed."""
+    return _pipeline(spark, sf)["statuses"]
+
+
 @query()
 def g8_heard(spark: SparkSession, sf: str) -> DataFrame:
     """All phases of the fusion with the recordings voiced from the words."""
@@ -168,7 +164,7 @@ def g2_snapped(spark: SparkSession, sf: str) -> DataFrame:
         new, _ = fusion.snapped(words, phones, tokens, punct)
         return [(u["dataset"], u["stem"], i, w.x0, w.x1, w.text) for i, w in enumerate(new)]
 
-    return _per_utterance(assembled(spark, sf), make, "dataset string, stem string, ord int, xmin double, xmax double, text string")
+    return steps.per_utterance(assembled(spark, sf), make, "dataset string, stem string, ord int, xmin double, xmax double, text string")
 
 
 @query()
@@ -180,7 +176,7 @@ def g1_punctuated(spark: SparkSession, sf: str) -> DataFrame:
         new, _ = fusion.punctuation_injected(words, phones, punct, max(w.x1 for w in words))
         return [(u["dataset"], u["stem"], i, w.x0, w.x1, w.text, w.kind) for i, w in enumerate(new)]
 
-    return _per_utterance(assembled(spark, sf), make, "dataset string, stem string, ord int, xmin double, xmax double, text string, kind string")
+    return steps.per_utterance(assembled(spark, sf), make, "dataset string, stem string, ord int, xmin double, xmax double, text string, kind string")
 
 
 @query()
@@ -195,7 +191,7 @@ def e3_adjusted_bounds(spark: SparkSession, sf: str) -> DataFrame:
             for kind, moved in (("tokens", tokens), ("punct", punct)) for i, (old, new) in enumerate(zip(rows[kind], moved, strict=True))
         ]
 
-    return _per_utterance(_sounding(spark, sf), make, "dataset string, stem string, kind string, ord int, word string, old_start double, old_end double, start_s double, end_s double")
+    return steps.per_utterance(_sounding(spark, sf), make, "dataset string, stem string, kind string, ord int, word string, old_start double, old_end double, start_s double, end_s double")
 
 
 @query(
@@ -213,7 +209,7 @@ def g7_rebuilt_texts(spark: SparkSession, sf: str) -> DataFrame:
     def make(u: dict) -> list[tuple]:
         return [(u["dataset"], u["stem"], *fusion.texts_rebuilt(fusion._items(u["words"]), [(h["xmin"], h["xmax"], h["text"]) for h in u["hanzi"]]))]
 
-    return _per_utterance(nested, make, "dataset string, stem string, raw string, pinyin string")
+    return steps.per_utterance(nested, make, "dataset string, stem string, raw string, pinyin string")
 
 
 def _sounding(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # Defaults of the settings.
 DEFAULTS: dict = {
     "trim": {"max_silence_sec": 1.0, "sil_vol_threshold": 0.005, "sil_len_threshold": 0.08, "target_edge_silence_sec": 0.5, "edge_silence_threshold": 0.001, "edge_frame_length": 1024},
+    "resample": {"rate": 16000},
     "mfa_en": {"padding_ms": 50, "min_segment_dur_ms": 200, "max_gap_merge_s": 0.35},
     "postprocess": {
         "min_sil_merge_sec": 0.2, "merge_energy_threshold": 0.5, "short_word_max_sec": 0.25, "flank_silence_sec": 0.4, "short_word_search_window": 0.5,

@@ -60,3 +60,21 @@ def test_event_windows(spark):
     df = spark.createDataFrame([("2024-01-01 00:10:00", 1, 2.0), ("2024-01-01 00:50:00", 1, 4.0), ("2024-01-01 01:00:00", 1, 9.0)], "t string, user_id int, value double")
     got = mb.event_windows(df.selectExpr("cast(t as timestamp) as ts", "user_id", "value")).collect()
     assert sorted((r.n, r["mean"]) for r in got) == [(1, 9.0), (2, 3.0)]
+
+
+def test_wired_steps(spark):
+    from tessella.plans import steps
+
+    anchors = [("d", "u", "token", 1, 0.0, 0.2, "rui1"), ("d", "u", "token", 2, 0.2, 0.5, "ya4"), ("d", "u", "token", 3, 0.5, 0.8, "mo"), ("d", "u", "token", 4, 0.8, 1.0, "del"), ("d", "u", "punct", 9, 1.0, 1.1, ","), ("d", "v", "token", 5, 0.0, 0.2, "de5")]
+    intervals = [("d", u, t, i, 0.0, 1.0, x) for i, (u, t, x) in enumerate([("u", "words", "ria"), ("u", "raw_text", "old"), ("v", "words", "de5"), ("w", "words", "x1")])]
+    tables = {
+        "anchors": spark.createDataFrame(anchors, steps._ANCHOR), "intervals": spark.createDataFrame(intervals, "dataset string, stem string, tier string, interval_id bigint, xmin double, xmax double, text string"),
+        "texts": spark.createDataFrame([("d", "u", "15 瑞娅,model")], "dataset string, stem string, text string"), "records": spark.createDataFrame([("D", "U", True), ("d", "v", False)], "dataset string, stem string, complete boolean"),
+    }
+    out = pl.Pipeline(steps.STEPS).run(tables, "ctc_ready", skip=["postprocess"])
+    assert [r.text for r in out["texts"].collect()] == ["十五 ria，model"]
+    assert sorted((r.kind, r.interval_id, r.xmin, r.xmax, r.text) for r in out["anchors"].collect()) == [("punct", 9, 1.0, 1.1, "，"), ("token", 1, 0.0, 0.5, "ria"), ("token", 3, 0.5, 1.0, "model")]
+    done = pl.Pipeline(steps.STEPS).run(out, "ctc_ready", only="postprocess")
+    assert done["fused"].where("error is not null").count() == 0 and {r.tier for r in done["fused"].collect()} >= {"words", "hanzi", "raw_text"}
+    assert {r.stem for r in done["statuses"].collect()} == {"u"}
+    assert steps.trim({"audio": spark.createDataFrame([("d", "u", 100, [0.5] * 300)], "dataset string, stem string, sample_rate int, samples array<float>")}, pl.DEFAULTS)["audio"].first().sample_rate == 100

@@ -52,6 +52,19 @@ def fused(rows, duck):
     return whole and numbered and lasting and raw
 
 
+def piped(rows, duck):
+    """As ``fused``, for utterances of complete records only."""
+    tiers = by_utterance(rows, "tier")
+    known = set(words_of(duck))
+    return 0 < len({u[:2] for u in tiers}) < len(known) and {u[:2] for u in tiers} <= known and all(r["error"] is None and r["xmin"] <= r["xmax"] for r in rows)
+
+
+def statuses(rows, duck):
+    """Utterances once, each with a status that lists its reasons."""
+    listed = all((r["status"] == "ok") == (r["distinct_reasons"] == "") and set(r["distinct_reasons"].split(",")) <= {"", *"pinyin_in_text incomplete_tiers tier_desync misaligned_phones sp3 mid_sp unexpected_silence bgm_suspect".split()} for r in rows)
+    return listed and len({(r["dataset"], r["stem"]) for r in rows}) == len(rows)
+
+
 def ellipses(rows, duck):
     """The same by a chain of replacements in plain Python."""
     mark, label = "[，。！？、；：,.!?;:]", r"\[([A-Za-z][^\]]*?)\]"
@@ -79,7 +92,7 @@ def totals(rows, duck):
     return all(n[k, "start"] == n[k, "end"] > 0 for k in ("tokens", "punct")) and any(r["moved"] != "same" for r in rows)
 
 
-HOLDS = {"g1_punctuated": punctuated, "g2_snapped": snapped, "g8_fused": fused, "g8_heard": fused, "i9_ellipses": ellipses, "e3_adjusted_bounds": moved, "e6_adjust_totals": totals}
+HOLDS = {"l9_ctc_ready": piped, "l9_statuses": statuses, "g1_punctuated": punctuated, "g2_snapped": snapped, "g8_fused": fused, "g8_heard": fused, "i9_ellipses": ellipses, "e3_adjusted_bounds": moved, "e6_adjust_totals": totals}
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
