@@ -161,3 +161,19 @@ def a15_two_tier_grids(spark: SparkSession, sf: str) -> DataFrame:
     """The same written as TextGrids and read again: intervals and length of each tier."""
     again = textgrid.interval_rows(textgrid.rendered(_two_tiers(spark, sf), ["dataset", "stem"]), ["dataset", "stem"])
     return again.groupBy("dataset", "stem", "tier").agg(F.count(F.lit(1)).alias("n"), F.sum(textgrid.micros(F.col("xmax")) - textgrid.micros(F.col("xmin"))).alias("micros"))
+
+
+@query(
+    f"""{_V}, q AS (SELECT interval_id, wv.dataset, wv.stem, xmin, xmax, a AS s, (least(n, CAST(trunc(least(xmax, xmin + 0.5) * 1000) AS BIGINT)) - a) // 5 AS nf FROM wv JOIN len USING (dataset, stem) WHERE sil AND xmax - xmin >= 0.4),
+e AS (SELECT interval_id, (k - s) // 5 AS j, sum(v * v) AS e FROM (SELECT *, unnest(range(s, s + nf * 5)) AS k FROM q WHERE nf > 0) JOIN cov USING (dataset, stem, k) GROUP BY 1, 2),
+f AS (SELECT q.*, j, CAST(sqrt(coalesce(e, 0) / 5 + 1e-12) AS FLOAT) AS rms FROM (SELECT *, unnest(range(0, nf)) AS j FROM q WHERE nf > 0) q LEFT JOIN e USING (interval_id, j)),
+lim AS (SELECT interval_id, CAST(greatest(CAST(median(rms) FILTER (j >= CAST(trunc(nf * 0.6) AS BIGINT)) AS DOUBLE) * 2.5, CAST(max(rms) AS DOUBLE) * 0.15) AS FLOAT) AS t FROM f GROUP BY 1),
+act AS (SELECT f.*, rms > t AS loud, j - row_number() OVER (PARTITION BY interval_id, rms > t ORDER BY j) AS g FROM f JOIN lim USING (interval_id)),
+run AS (SELECT interval_id, loud, min(j) AS a, max(j) + 1 AS b FROM act GROUP BY interval_id, loud, g), fst AS (SELECT interval_id, min(a) AS first FROM run WHERE loud AND b - a >= 8 GROUP BY 1),
+stop AS (SELECT interval_id, any_value(first) AS first, coalesce(min(greatest(a, first + 8)) FILTER (NOT loud AND b - greatest(a, first + 8) >= 8), max(b) FILTER (loud)) AS last FROM run JOIN fst USING (interval_id) GROUP BY 1),
+o AS (SELECT dataset, stem, interval_id, xmin, xmin + first * 0.005::DOUBLE AS from_s, least(xmax, xmin + last * 0.005::DOUBLE + 0.01) AS to_s FROM stop JOIN q USING (interval_id))
+SELECT dataset, stem, interval_id, from_s, to_s FROM o WHERE to_s - from_s >= 0.04 AND from_s - xmin <= 0.35"""
+)
+def h7_bursts(spark: SparkSession, sf: str) -> DataFrame:
+    """Speech within long silences of the words tier."""
+    return audio.bursts(heard(spark, sf))
